@@ -72,7 +72,7 @@ ROLES = {
                     WHEN o_orderkey % 11 = 1 THEN '' END AS spillover_fy_calculated,
                CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END AS not_considered_request_type_calculation,
                CASE WHEN o_orderkey % 5 < 2 THEN 'Wave pega 1' WHEN o_orderkey % 7 = 0 THEN 'x' END AS fss_wave,
-               CAST(o_custkey % 7 AS INT) AS delivery_center_id, o_custkey AS customer_id,
+               c_nationkey % 7 AS delivery_center_id, o_custkey AS customer_id,
                CAST(o_custkey % 5 AS INT) AS division_id,
                CASE WHEN o_custkey % 6 <> 5 THEN CAST(o_custkey % 5 AS INT) END AS business_unit_id,
                CAST(o_custkey % 25 AS INT) AS country_id, CAST(o_custkey % 5 AS INT) AS are_id,
@@ -107,7 +107,7 @@ ROLES = {
                'ESN' || CAST(o_custkey AS STRING) AS esn_code
         FROM {orders} LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS shipped, min(l_suppkey) AS supp,
                                         min(l_partkey) AS part FROM {lineitem} GROUP BY l_orderkey) AS lines
-             ON l_orderkey = o_orderkey""",
+             ON l_orderkey = o_orderkey LEFT JOIN {customer} ON c_custkey = o_custkey""",
     "request_module": """
         SELECT DISTINCT l_orderkey AS request_id, CASE WHEN l_linenumber = 7 THEN 9 ELSE l_linenumber END AS module_id
         FROM {lineitem} WHERE l_linenumber IN (1, 4, 5, 7)""",
