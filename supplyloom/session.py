@@ -19,7 +19,9 @@ DEFAULTS = {
 
 def build_session(master: str = "local[8]", app: str = "supplyloom", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster pass the cluster's own session instead."""
-    builder = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.master(master).appName(app)
+    for name, value in {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}.items():
+        builder = builder.config(name, value)
     for name, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
