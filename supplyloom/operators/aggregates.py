@@ -34,14 +34,19 @@ def ordered_text(
     the ready chunks are joined per key, so the sorting of a hot key is spread over its chunks and only its
     final text, which is the result, meets in one place.
     """
+    way = "DESC" if descending else "ASC"
+
+    def joined(column: str, by: Sequence[str]) -> Column:
+        ranks = ", ".join(f"`{c}` {way}" for c in by)
+        return F.expr(f"listagg(`{column}`, '{separator}') WITHIN GROUP (ORDER BY {ranks})")
+
     chunks = (
         df.filter(F.col(text).isNotNull())
-        .groupBy(*keys, chunk.alias("_chunk"))
-        .agg(F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("_text"))), asc=not descending).alias("_rows"))
-        .select(*keys, "_chunk", F.array_join(F.transform("_rows", lambda r: r["_text"]), separator).alias("_part"))
+        .withColumn("_chunk", chunk)
+        .groupBy(*keys, "_chunk")
+        .agg(joined(text, [*order, text]).alias("_part"))
     )
-    parts = F.sort_array(F.collect_list(F.struct("_chunk", "_part")), asc=not descending)
-    return chunks.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda p: p["_part"]), separator).alias(name))
+    return chunks.groupBy(*keys).agg(joined("_part", ["_chunk"]).alias(name))
 
 
 def line_items_text(record: DataFrame, xml_escape: bool = False) -> DataFrame:

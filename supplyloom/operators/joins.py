@@ -31,13 +31,13 @@ class Lookup:
 
 def denormalize(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Left-join every lookup in turn; one table may serve in several roles under different names."""
-    for i, look in enumerate(lookups):
-        key = f"_pk{i}"
+    keys = [f"_pk{i}" for i in range(len(lookups))]
+    for key, look in zip(keys, lookups):
         dim = look.dim if look.on is None else look.dim.filter(look.on)
         picked = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in look.columns.items()]
         dim = dim.select(F.col(look.pk).alias(key), *picked)
-        fact = fact.join(dim, F.col(look.fk) == F.col(key), "left").drop(key)
-    return fact
+        fact = fact.join(dim, F.col(look.fk) == F.col(key), "left")
+    return fact.drop(*keys)
 
 
 def pivot_children(

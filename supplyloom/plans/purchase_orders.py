@@ -22,7 +22,7 @@ def order_record_view(
 ) -> DataFrame:
     """One row per order, period and category, with the smallest value of each attribute.
 
-    Everything in the group is combined before the shuffle. The line item text covers the whole order,
+    All attributes are combined before the shuffle. The line item text covers the whole order,
     whatever the category, and is NULL where the category is. ``with_lines=False`` leaves it out.
     """
     named = denormalize(
@@ -33,7 +33,7 @@ def order_record_view(
             Lookup(are, "are_id", {"_are": "name"}),
         ],
     )
-    orders = named.groupBy(*ORDER_KEY).agg(
+    attributes = named.groupBy(*ORDER_KEY).agg(
         F.min("team").alias("team"),
         F.min("sap_backend").alias("sap_backend"),
         F.min("created_at").alias("created_at"),
@@ -42,8 +42,12 @@ def order_record_view(
         F.min("ifa_supplier_name").alias("ifa_supplier_name"),
         F.min("_are").alias("are"),
         F.min("customer_id").alias("customer_id"),
-        F.count_distinct("number_of_line_item").cast("int").alias("po_items_count"),
     )
+    # the distinct count goes its own way: beside the attributes it would drag them through both its shuffles
+    counts = record.groupBy(*ORDER_KEY).agg(F.count_distinct("number_of_line_item").cast("int").alias("po_items_count"))
+    counts = counts.select(*[F.col(k).alias(f"_{k}") for k in ORDER_KEY], "po_items_count")
+    same_order = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ORDER_KEY]
+    orders = attributes.join(counts, same_order).drop(*[f"_{k}" for k in ORDER_KEY])
     orders = denormalize(orders, [Lookup(category, "category_id", {"category": "name"})])
     if with_lines:
         text = line_items_text(record, xml_escape)
