@@ -88,7 +88,7 @@ def comment_history(comments: DataFrame, steps: DataFrame, xml_escape: bool = Fa
         steps.select(F.col("id").alias("step_id"), F.col("name").alias("_step")), "step_id", "left"
     ).withColumn("_body", body)
     return ordered_text(
-        named, ["request_id"], "_body", ["created_at"], " ;; ", F.to_date("created_at"), descending=True, name="comment_history"
+        named, ["request_id"], "_body", ["created_at"], " ;; ", F.date_trunc("HOUR", "created_at"), descending=True, name="comment_history"
     )
 
 

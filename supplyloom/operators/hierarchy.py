@@ -27,10 +27,12 @@ def top_level(nodes: DataFrame) -> DataFrame:
             F.col("_listed").isNull().alias("done"),  # the parent is NULL or not listed
         )
     )
-    for _ in range(ceil(log2(max(2, state.count()))) + 1):
-        if state.filter("not done").isEmpty():
+    size, open_nodes = state.agg(F.count(F.lit(1)), F.count_if(~F.col("done"))).first()
+    for _ in range(ceil(log2(max(2, size))) + 1):
+        if not open_nodes:
             break
         state = stable(_look_up(state))
+        open_nodes = state.filter("not done").count()
     return state.select("id", F.when(F.col("done"), F.col("up")).alias("root_id"))
 
 

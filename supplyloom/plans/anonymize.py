@@ -46,17 +46,15 @@ class Anonymized:
 def anonymization_counts(users: DataFrame, mails: DataFrame, inactive: DataFrame) -> DataFrame:
     """Users still to anonymise, users and mails an update touches; no update without a user still to do."""
     ids = inactive.select(F.col("created_by").alias("id"))
+    none = F.lit(0).cast("bigint")
     hit_users = users.join(ids, "id", "left_semi").agg(
-        F.count_if(F.col("is_anonymized") == 0).alias("needs"), F.count(F.lit(1)).alias("_users")
+        F.count_if(F.col("is_anonymized") == 0).alias("needs"), F.count(F.lit(1)).alias("users"), none.alias("mails")
     )
-    hit_mails = mails.join(inactive, "created_by", "left_semi").agg(F.count(F.lit(1)).alias("_mails"))
-    # two one-row results side by side
-    both = hit_users.withColumn("_one", F.lit(1)).join(hit_mails.withColumn("_one", F.lit(1)), "_one")
-    return both.select(
-        "needs",
-        F.when(F.col("needs") > 0, F.col("_users")).otherwise(0).alias("users"),
-        F.when(F.col("needs") > 0, F.col("_mails")).otherwise(0).alias("mails"),
+    hit_mails = mails.join(inactive, "created_by", "left_semi").agg(
+        none.alias("needs"), none.alias("users"), F.count(F.lit(1)).alias("mails")
     )
+    total = hit_users.unionByName(hit_mails).agg(*[F.sum(c).alias(c) for c in ("needs", "users", "mails")])
+    return total.select("needs", *[F.when(F.col("needs") > 0, F.col(c)).otherwise(0).alias(c) for c in ("users", "mails")])
 
 
 def anonymize(users: DataFrame, mails: DataFrame, log: DataFrame, as_of: date | datetime, years: int = 1) -> Anonymized:

@@ -134,23 +134,20 @@ def kpi_report(
     """
     keys = MEASURE_KEYS + (["period"] if per_period else [])
     columns = ["period", "team", "product", "kpi", "customer_name", "value"]
-    report = template.select(*columns)
-    invalid = []
-    for counts, kpis, product in (
-        (received_counts(data, teams, periods, per_period), [KPI_RECEIVED], INVALID_PRODUCT_RECEIVED),
-        (finished_counts(data, teams, periods, per_period), list(REQUEST_TYPE_KPIS.values()), PRODUCT),
-    ):
-        one = first_per_key(
-            counts.withColumns({f"_{k}": text_key(F.col(k)) for k in keys}), [f"_{k}" for k in keys], [F.col("center_key")]
-        )
-        report = fill_measures(report, one, keys, kpis)
-        invalid.append(
-            unmatched(counts, template, keys).select(
-                F.lit(INVALID).alias("period"), "team", F.lit(product).alias("product"), "kpi", "customer_name",
-                F.col("n_records").cast("double").alias("value"),
-            )
-        )
-    return report.unionByName(invalid[0]).unionByName(invalid[1])
+    # received and finished KPIs have different names, so one pass over the template serves both
+    counts = (
+        received_counts(data, teams, periods, per_period)
+        .withColumn("product", F.lit(INVALID_PRODUCT_RECEIVED))
+        .unionByName(finished_counts(data, teams, periods, per_period).withColumn("product", F.lit(PRODUCT)))
+    )
+    one = first_per_key(
+        counts.withColumns({f"_{k}": text_key(F.col(k)) for k in keys}), [f"_{k}" for k in keys], [F.col("center_key")]
+    )
+    filled = fill_measures(template.select(*columns), one, keys, [KPI_RECEIVED, *REQUEST_TYPE_KPIS.values()])
+    invalid = unmatched(counts, template, keys).select(
+        F.lit(INVALID).alias("period"), "team", "product", "kpi", "customer_name", F.col("n_records").cast("double").alias("value")
+    )
+    return filled.unionByName(invalid)
 
 
 def sorted_report(report: DataFrame) -> DataFrame:
