@@ -122,6 +122,22 @@ def hide_invisible(template: DataFrame, visibility: DataFrame) -> DataFrame:
     return t.join(v, on, "left_anti")
 
 
+def hiding_windows(visibility: DataFrame, name: str = "hidden") -> DataFrame:
+    """Distinct windows in which each (team_id, service_name_id, customer_unit_id) is hidden, as one array.
+
+    The calendar bounds how many distinct windows there are, so the array stays small. Rows that have not
+    been multiplied by periods yet can carry it and be tested once they are (``is_hidden``).
+    """
+    keys = ["team_id", "service_name_id", "customer_unit_id"]
+    windows = visibility.filter(F.col("valid_from").isNotNull()).select(*keys, "valid_from", "valid_to").distinct()
+    return windows.groupBy(*keys).agg(F.collect_list(F.struct("valid_from", "valid_to")).alias(name))
+
+
+def is_hidden(period: Column, name: str = "hidden") -> Column:
+    found = F.exists(name, lambda w: valid_at(period, w["valid_from"], w["valid_to"]))
+    return F.coalesce(found, F.lit(False))
+
+
 def unmatched(measures: DataFrame, template: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Measured combinations the template does not know; texts compare without case, NULL matches nothing."""
     m, t = measures.alias("m"), template.select(*keys).distinct().alias("t")

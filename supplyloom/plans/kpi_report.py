@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from supplyloom.functions.dates import in_periods, period_of, valid_at
 from supplyloom.functions.labels import KPI_RECEIVED, KPI_TEAMS, REQUEST_TYPE_KPIS, request_type_to_kpi
 from supplyloom.functions.text import same_text, text_key
-from supplyloom.operators.joins import cross_periods, hide_invisible, join_top_level, unmatched
+from supplyloom.operators.joins import cross_periods, hiding_windows, is_hidden, join_top_level, unmatched
 from supplyloom.operators.updates import fill_measures
 from supplyloom.operators.windows import first_per_key, global_row_number
 
@@ -28,44 +28,58 @@ Tables = Mapping[str, DataFrame]
 
 
 def kpi_template(t: Tables, hierarchy: DataFrame, periods: Sequence[str], consolidation: DataFrame | None = None) -> DataFrame:
-    """Template rows with their ids: period, team, product, kpi, customer_name, value (NULL).
+    """Template rows: period, team, product, kpi, customer_name, value (NULL), and their sort columns.
 
     Tables: team_customer, customer, team, service, service_name, kpi, kpi_name, customer_visibility.
     ``hierarchy`` gives the top-level customer of every customer (``id``, ``root_id``). ``consolidation``
     (customer_unit_id, team_id, service_name_id, period, consolidation) restricts the rows to the input
-    level; without it every row counts as such. Validity is tested before the rows multiply further.
-    """
+    level; without it every row counts as such.
 
-    def bounds(prefix: str) -> list:
-        return [F.col("valid_from").alias(f"{prefix}_from"), F.col("valid_to").alias(f"{prefix}_to")]
+    All joins run on rows without period. The periods multiply them last and in place, where all validity
+    bounds are tested together.
+    """
+    if not periods:
+        raise ValueError("at least one period is needed")
 
-    def valid(df: DataFrame, prefix: str) -> DataFrame:
-        return df.filter(valid_at(F.col("period"), F.col(f"{prefix}_from"), F.col(f"{prefix}_to"))).drop(
-            f"{prefix}_from", f"{prefix}_to"
+    def bounded(df: DataFrame, prefix: str, **columns: str) -> DataFrame:
+        """Columns by new name with the validity bounds, for rows valid in some part of the report."""
+        overlaps = (F.col("valid_to").isNull() | (F.col("valid_to") >= min(periods))) & (
+            F.col("valid_from").isNull() | (F.col("valid_from") <= max(periods))
         )
+        bounds = [F.col("valid_from").alias(f"{prefix}_from"), F.col("valid_to").alias(f"{prefix}_to")]
+        return df.filter(overlaps).select(*[F.col(old).alias(new) for new, old in columns.items()], *bounds)
 
-    owner = t["team_customer"].select(F.col("id").alias("team_customer_id"), "team_id", F.col("customer_id").alias("owner_id"), *bounds("tc"))
-    service = t["service"].select(F.col("id").alias("service_id"), "team_customer_id", "service_name_id", *bounds("s"))
+    owner = bounded(t["team_customer"], "tc", team_customer_id="id", team_id="team_id", owner_id="customer_id")
+    service = bounded(
+        t["service"], "s", service_id="id", team_customer_id="team_customer_id", service_name_id="service_name_id"
+    )
+    kpi = bounded(t["kpi"], "k", service_id="service_id", kpi_name_id="kpi_name_id")
+    unit = bounded(t["customer"], "cu", customer_unit_id="id", customer_name="name")
     service_name = t["service_name"].filter(same_text(F.col("name"), PRODUCT)).select(
         F.col("id").alias("service_name_id"), F.col("name").alias("product")
     )
-    kpi = t["kpi"].select("service_id", "kpi_name_id", *bounds("k"))
     kpi_name = t["kpi_name"].filter(F.col("kpi_kind").isin(*KPI_KINDS)).select(
         F.col("id").alias("kpi_name_id"), F.col("name").alias("kpi"), F.col("priority").alias("kpi_priority")
     )
     team = t["team"].select(F.col("id").alias("team_id"), F.col("name").alias("team"))
-    unit = t["customer"].select(F.col("id").alias("customer_unit_id"), F.col("name").alias("customer_name"), *bounds("cu"))
 
-    # services of a team's customer, per period; the customer units below come last, being the many
-    offered = valid(cross_periods(owner, periods), "tc").join(team, "team_id")
-    offered = valid(offered.join(service, "team_customer_id"), "s").join(service_name, "service_name_id")
-    measured = valid(offered.join(kpi, "service_id"), "k").join(kpi_name, "kpi_name_id")
+    offered = owner.join(team, "team_id").join(service, "team_customer_id").join(service_name, "service_name_id")
+    measured = offered.join(kpi, "service_id").join(kpi_name, "kpi_name_id")
     rows = join_top_level(measured, hierarchy, "owner_id").withColumnRenamed("node_id", "customer_unit_id")
-    rows = valid(rows.join(unit, "customer_unit_id"), "cu")
+    # Small as bytes, these rows would share one task, and the periods multiply them there. They are dealt out
+    # by number, which AQE leaves alone.
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.join(unit, "customer_unit_id").join(
+        hiding_windows(t["customer_visibility"]), ["team_id", "service_name_id", "customer_unit_id"], "left"
+    )
+    rows = cross_periods(rows, periods)
+    period = F.col("period")
+    for prefix in ("tc", "s", "k", "cu"):
+        rows = rows.filter(valid_at(period, F.col(f"{prefix}_from"), F.col(f"{prefix}_to")))
+    rows = rows.filter(~is_hidden(period))
     if consolidation is not None:
         level = consolidation.filter(same_text(F.col("consolidation"), INPUT_LEVEL))
         rows = rows.join(level, ["customer_unit_id", "team_id", "service_name_id", "period"], "left_semi")
-    rows = hide_invisible(rows, t["customer_visibility"])
     return rows.select(
         "period", "team", "product", "kpi", "customer_name", F.lit(None).cast("double").alias("value"),
         "customer_unit_id", "kpi_priority",
