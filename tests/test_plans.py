@@ -144,3 +144,60 @@ def test_kpi_report_invalid_rows_and_case(spark):
     assert {(r.period, r.value) for r in split if r.kpi and r.kpi.startswith("Number of received") and r.period[0] == "2"} == {("20200100", 1.0), ("20200200", 1.0)}
 
 
+
+
+def test_kpi_template_levels_and_bounds(spark):
+    def table(schema, *data):
+        return spark.createDataFrame(list(data), schema)
+
+    open_ = (None, None)
+    t = {
+        "team_customer": table("id int, team_id int, customer_id int, valid_from string, valid_to string", (1, 1, 10, *open_)),
+        "customer": table(
+            "id int, name string, valid_from string, valid_to string",
+            (10, "Root", *open_), (11, "Unit", "20200200", None), (12, "Hidden", *open_), (13, "Gone", None, "20190100"),
+        ),
+        "team": table("id int, name string", (1, "Team")),
+        "service": table("id int, team_customer_id int, service_name_id int, valid_from string, valid_to string", (5, 1, 7, *open_), (6, 1, 8, *open_)),
+        "service_name": table("id int, name string", (7, "supplier qualification "), (8, "Other")),
+        "kpi": table("service_id int, kpi_name_id int, valid_from string, valid_to string", (5, 1, *open_), (5, 2, *open_), (6, 1, *open_)),
+        "kpi_name": table("id int, name string, priority int, kpi_kind int", (1, "K1", 1, 1), (2, "K2", 1, 2)),
+        "customer_visibility": table(
+            "team_id int, service_name_id int, customer_unit_id int, valid_from string, valid_to string",
+            (1, 7, 12, "20200100", "20200100"), (1, 7, 10, None, None),
+        ),
+    }
+    hierarchy = table("id int, root_id int", (10, 10), (11, 10), (12, 10), (13, 10), (99, None))
+    periods = ["20200100", "20200200"]
+    rows = {(r.period, r.customer_name) for r in kpi.kpi_template(t, hierarchy, periods).collect()}
+    assert rows == {("20200100", "Root"), ("20200200", "Root"), ("20200200", "Unit"), ("20200200", "Hidden")}
+    level = table(
+        "customer_unit_id int, team_id int, service_name_id int, period string, consolidation string",
+        (10, 1, 7, "20200100", "Inputed"), (11, 1, 7, "20200200", "calculated"),
+    )
+    rows = {(r.period, r.customer_name) for r in kpi.kpi_template(t, hierarchy, periods, level).collect()}
+    assert rows == {("20200100", "Root")}
+
+
+def test_dashboard_keeps_rows_multiplied_by_lookups(spark):
+    """A customer listed twice as global doubles its rows; one of them is the first of its request."""
+    from supplyloom.plans.dashboard import request_dashboard, with_headers
+    from supplyloom.plans.prices import price_list
+    from supplyloom.queries.aggregating import price_tables
+    from supplyloom.queries.reports import dashboard_tables
+    from supplyloom.queries.roles import Roles
+
+    roles = Roles(spark, "/root/testdata/sf0.001")
+    t = dashboard_tables(roles)
+    t["global_customer"] = t["global_customer"].unionByName(t["global_customer"])
+    rows = request_dashboard(t, price_list(price_tables(roles)), date(1998, 3, 10), "step_entered")
+    per_request = rows.groupBy("record_id").agg(
+        F.count_if(F.col("doubles") == 0).alias("firsts"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("escalation_id").alias("escalations"), F.first("customer_type").alias("kind"),
+        F.count_if(F.col("doubles_check_escalation") == 0).alias("distinct_rows"),
+    ).collect()
+    assert per_request and all(r.firsts == 1 for r in per_request)
+    for r in per_request:
+        once = max(r.escalations, 1)
+        assert r.n == once * (2 if r.kind == "global" else 1) and r.distinct_rows == once
+    assert {"Record ID", "CoC Available / Migrated", "Company Contact Email"} <= set(with_headers(rows.limit(0)).columns)
