@@ -176,3 +176,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
         F.sha2(names, 256).alias("items_sha256"),
         (hits > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no window of any item, with all their columns."""
+    found = find_items(docs, items, size, id_col, text_col).select("doc", "version")
+    same = F.col(id_col).eqNullSafe(F.col("doc")) & (F.xxhash64(F.col(text_col)) == F.col("version"))
+    return docs.join(found, same, "left_anti")

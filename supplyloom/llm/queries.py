@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from supplyloom.llm import decontaminate, simhash
+from supplyloom.llm import (
+    cover_tree,
+    decontaminate,
+    language,
+    line_dedup,
+    personal_data,
+    quality,
+    sentencepiece_dropout,
+    simhash,
+    toxicity,
+    url_rules,
+)
 from supplyloom.llm.common import table
 from supplyloom.session import apply_defaults
 
@@ -72,3 +84,80 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op9_line_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its lines, how many of them repeat an earlier line, and their numbers from 0."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.col("__lines").alias("n_lines"),
+        F.size("__gone").cast("long").alias("n_removed"),
+        F.array_join("__gone", ",").alias("removed"),
+    )
+
+
+SEARCH_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v AS q JOIN v AS d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query("op1_exact_top_k_search", SEARCH_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every query vector."""
+    vectors = cover_tree.quantized(table(spark, folder, "embeddings"))
+    return cover_tree.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query("op2_personal_data")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, all accepted spans."""
+    return personal_data.report(table(spark, folder, "documents"))
+
+
+@query("op3_url_rules")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every URL by given and mined rules."""
+    return url_rules.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@query("op4_sentencepiece_dropout")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: number of pieces under merge-dropout, digest of their ids, and whether they decode to the text."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select("doc_id", text.alias("text"))
+    pieces = docs.withColumn("pieces", sentencepiece_dropout.encode(F.col("text"), F.col("doc_id")))
+    return pieces.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        (sentencepiece_dropout.decode(F.col("pieces")) == F.col("text")).alias("lossless"),
+    )
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))

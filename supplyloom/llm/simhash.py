@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyloom.llm.common import staged
@@ -112,8 +112,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the smallest id of each group of near-duplicates, with all its columns.
 
-    Of rows that share that id one stays if they have the same text; rows without id group by fingerprint alone.
+    Of several rows with that id the one with the smallest text hash stays. Rows without id stay: nothing tells
+    them apart.
     """
-    found = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id") == F.col("component_id"))
     keys = found.select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keys, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([id_col])
+    kept = docs.join(keys, F.col(id_col) == F.col("__keep"), "left_semi")
+    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    return (
+        kept.withColumn("__rank", F.row_number().over(one))
+        .filter(F.col("__rank") == 1)
+        .drop("__rank")
+        .union(docs.filter(F.col(id_col).isNull()))
+    )
