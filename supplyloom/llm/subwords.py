@@ -2,62 +2,107 @@
 
 Every word stands for its own bucket and those of its character n-grams; a text is the average of the learned vectors
 of all its features, whole text, no prefix. Training runs on a bounded sample on the driver; afterwards vectors and
-softmax fold into one score per bucket and class, so that a task scores a word once and then looks it up.
+softmax fold into one score per bucket and class. Hashes of all n-grams of a text are computed at once with numpy.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
-from zlib import crc32
+from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 17
 DIM = 12
 GRAMS = (3, 4, 5)
 REPEAT = 0  # bucket of "the same word again"
-BLOCK, CACHE = 20_000, 150_000
-LETTERS = re.compile(r"[^\W\d_]+")
+BLOCK = 1 << 18  # characters that are hashed at a time
 
 
-def letter_words(text: str) -> list[str]:
-    """Runs of letters in lower case."""
-    return LETTERS.findall(text.lower())
+@cache
+def separators(splitter: str) -> np.ndarray:
+    """For every code point whether it stands between words: all but letters, or only white space."""
+    between = (lambda c: not c.isalpha()) if splitter == "letters" else str.isspace
+    return np.fromiter((between(chr(i)) for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def raw_words(text: str) -> list[str]:
-    """What stands between white space, as it is."""
-    return text.split()
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    h = (h ^ (h >> np.uint32(12))) * np.uint32(0x297A2D39)
+    return h ^ (h >> np.uint32(15))
 
 
-SPLITTERS = {"letters": letter_words, "raw": raw_words}
+def _buckets(h: np.ndarray) -> np.ndarray:
+    return np.maximum(_mixed(h) & np.uint32(BUCKETS - 1), 1).astype(np.intp)
 
 
-def buckets_of(word: str) -> np.ndarray:
-    """Bucket of the word and of its n-grams, with word boundaries."""
-    marked = f"<{word}>"
-    grams = [marked, *(marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1) if n < len(marked))]
-    return np.array([crc32(g.encode("utf-8", "surrogatepass")) % (BUCKETS - 1) + 1 for g in grams], dtype=np.int32)
+def hashed(text: str | None, splitter: str) -> Iterator[np.ndarray]:
+    """Buckets of all words and n-grams of a text, with repetitions, in blocks that end between words.
 
-
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and their shares."""
-    if not words:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    counts = Counter(words)
-    ids = [buckets_of(w) for w in counts]
-    weights = np.repeat(np.fromiter(counts.values(), np.float64, len(counts)), [len(i) for i in ids])
-    ids.append(np.array([REPEAT], np.int32))
-    weights = np.append(weights, sum(map(eq, words, words[1:])))
-    unique, where = np.unique(np.concatenate(ids), return_inverse=True)
-    shares = np.bincount(where, weights=weights)
-    return unique, (shares / shares.sum()).astype(np.float32)
+    Letters are compared in lower case, other words as they stand. A word boundary counts as a character of an n-gram, but
+    only at its ends.
+    """
+    if not text:
+        return
+    codes = np.frombuffer((text.lower() if splitter == "letters" else text).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    between = separators(splitter)[codes]
+    cuts = np.flatnonzero(between)
+    start, last = 0, None
+    while start < len(codes):
+        end = len(codes)
+        if end - start > BLOCK:
+            at = np.searchsorted(cuts, start + BLOCK)
+            end = int(cuts[at]) + 1 if at < len(cuts) else end
+        out, last = _block(codes[start:end], between[start:end], last)
+        yield from out
+        start = end
+
+
+def _block(codes: np.ndarray, between: np.ndarray, last: int | None) -> tuple[list[np.ndarray], int | None]:
+    c = np.zeros(len(codes) + 2, np.uint32)
+    c[1:-1] = np.where(between, 0, codes)
+    filled = c != 0
+    keep = filled.copy()
+    keep[0] = True
+    keep[1:] |= filled[:-1]  # one boundary after each word
+    c, filled = c[keep], filled[keep]
+    starts = np.flatnonzero(filled & ~np.append(False, filled[:-1]))
+    if not len(starts):
+        return [], last
+    out = []
+    h = c
+    for n in range(2, max(GRAMS) + 1):
+        h = h[: len(c) - n + 1] * np.uint32(0x01000193) ^ c[n - 1 :]
+        if n == 2:
+            inside = filled[1:]
+        else:
+            inside = inside[: len(h)] if n == 3 else inside[: len(h)] & filled[n - 2 : n - 2 + len(h)]
+        if n in GRAMS:
+            out.append(_buckets(h[inside[: len(h)]] + np.uint32(n)))
+    place = np.arange(len(c), dtype=np.uint32)
+    word = np.cumsum(filled & ~np.append(False, filled[:-1])) - 1
+    inner = place - place[starts][np.maximum(word, 0)]
+    letters = np.where(filled, _mixed(c + inner * np.uint32(0x9E3779B9)), 0).astype(np.uint32)
+    words = np.add.reduceat(letters, starts, dtype=np.uint32)
+    out.append(_buckets(words))
+    before = np.append(-1 if last is None else last, words[:-1].astype(np.int64))
+    again = int((before == words).sum())
+    if again:
+        out.append(np.full(again, REPEAT, np.intp))
+    return out, int(words[-1])
+
+
+def features(text: str | None, splitter: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and their shares."""
+    counts = np.zeros(BUCKETS)
+    for ids in hashed(text, splitter):
+        counts += np.bincount(ids, minlength=BUCKETS)
+    ids = np.flatnonzero(counts)
+    return ids, (counts[ids] / max(counts.sum(), 1)).astype(np.float32)
 
 
 @dataclass
@@ -71,23 +116,25 @@ class Model:
     temperature: float = 1.0
     accept: float = 0.0
 
+    def __post_init__(self):
+        self.columns = [np.ascontiguousarray(c) for c in self.scores.T]
+
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = (logits + self.bias) / self.temperature
         e = np.exp(z - z.max(axis=-1, keepdims=True))
         return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(texts: list[str], labels: list, splitter: str, epochs: int = 5, rate: float = 0.6, seed: int = 0) -> Model:
+def fit(texts: list[str], labels: list, splitter: str, epochs: int = 3, rate: float = 0.6, seed: int = 0) -> Model:
     """SGD over the texts, one at a time in seeded order with a falling rate; every eighth text is kept for calibration."""
     classes = sorted(set(labels))
-    split = SPLITTERS[splitter]
     if not classes:
         return Model([], splitter, np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     rng = np.random.default_rng(seed)
     vectors = ((rng.random((BUCKETS, DIM)) - 0.5) / DIM).astype(np.float32)
     out = np.zeros((DIM, len(classes)), np.float32)
     bias = np.zeros(len(classes), np.float32)
-    data = [(*features(split(t)), classes.index(y)) for t, y in zip(texts, labels, strict=True)]
+    data = [(*features(t, splitter), classes.index(y)) for t, y in zip(texts, labels, strict=True)]
     learn = [d for i, d in enumerate(data) if i % 8] or data
     check = [d for i, d in enumerate(data) if i % 8 == 0]
     steps, done = epochs * len(learn), 0
@@ -133,41 +180,13 @@ def calibrated(model: Model, check: list[tuple[np.ndarray, np.ndarray, int]], ta
     return model
 
 
-class Scorer:
-    """Sums of word scores with a bounded memory of words, for one worker process."""
-
-    def __init__(self, model: Model):
-        self.model, self.split = model, SPLITTERS[model.splitter]
-        self.known: dict[str, int] = {}
-        self.rows = np.zeros((CACHE + BLOCK, len(model.classes) + 1))
-
-    def _row(self, word: str) -> int:
-        ids = buckets_of(word)
-        row = np.append(self.model.scores[ids].sum(axis=0, dtype=np.float64), len(ids))
-        at = len(self.known)
-        self.rows[at] = row
-        self.known[word] = at
-        return at
-
-    def logits(self, text: str | None) -> np.ndarray:
-        words = self.split(text or "")
-        total = np.zeros(self.rows.shape[1])
-        for start in range(0, len(words), BLOCK):
-            if len(self.known) > CACHE:
-                self.known.clear()
-            known, add = self.known, self._row
-            block = [known[w] if w in known else add(w) for w in words[start : start + BLOCK]]
-            total += np.bincount(block, minlength=1) @ self.rows[: max(block) + 1] if len(block) > 2_000 else self.rows[block].sum(axis=0)
-        repeats = sum(map(eq, words, words[1:]))
-        total[:-1] += repeats * self.model.scores[REPEAT]
-        total[-1] += repeats
-        return total[:-1] / max(total[-1], 1.0)
-
-
-def scorer(model: Model) -> Scorer:
-    if not hasattr(model, "scorer"):
-        model.scorer = Scorer(model)
-    return model.scorer
+def logits(model: Model, text: str | None) -> np.ndarray:
+    """Mean score of the features of a text for every class; zero without features."""
+    total, count = np.zeros(len(model.classes)), 0
+    for ids in hashed(text, model.splitter):
+        total += [column.take(ids).sum(dtype=np.float64) for column in model.columns]
+        count += len(ids)
+    return total / max(count, 1)
 
 
 def class_probabilities(model: Model, text: Column, spark) -> Column:
@@ -176,8 +195,8 @@ def class_probabilities(model: Model, text: Column, spark) -> Column:
 
     @F.pandas_udf("array<double>")
     def probabilities(batch: pd.Series) -> pd.Series:
-        mine = scorer(shared.value)
-        return pd.Series([mine.model.probabilities(mine.logits(t)) for t in batch])
+        mine = shared.value
+        return pd.Series([mine.probabilities(logits(mine, t)) for t in batch])
 
     return probabilities(text)
 
@@ -187,8 +206,6 @@ def sample(docs: DataFrame, labelled: DataFrame, rows: int) -> tuple[list[str],
 
     ``labelled (doc_id, label)``; only these ids are broadcast and only their texts reach the driver.
     """
-    from pyspark.sql import Window
-
     ranked = labelled.filter("doc_id is not null and label is not null").dropDuplicates(["doc_id"])
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows).select("doc_id", "label")

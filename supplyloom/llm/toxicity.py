@@ -129,19 +129,26 @@ class Grammar:
         return float(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, float(self.features(text, symbols) @ self.weights))))))
 
 
-def learn_lexicon(texts: list[str], toxic: list[int], least: int = 5, odds: float = 3.0) -> dict[str, float]:
-    """Words and stems that stand in toxic texts far more often than in others, with their log odds ratio."""
+def learn_lexicon(texts: list[str], toxic: list[int], odds: float = 3.0) -> dict[str, float]:
+    """Words and stems that stand in toxic texts far more often than in others, with their log odds ratio.
+
+    A form must also be too one-sided for chance: less than one form of the whole sample may be expected to be so.
+    """
     counts = [Counter(), Counter()]
     for text, label in zip(texts, toxic, strict=True):
         words = set(WORD_OR_STOP.findall(text.lower()))
         counts[label].update({f for w in words if len(w) > 1 for f in _forms(w)})
     n_toxic, n_clean = max(1, sum(toxic)), max(1, len(toxic) - sum(toxic))
+    share = math.log(n_toxic / (n_toxic + n_clean)), math.log(n_clean / (n_toxic + n_clean))
+    forms = math.log(len(counts[0].keys() | counts[1].keys()) + 1)
     found = {}
     for form, seen in counts[1].items():
-        if seen < least:
+        if seen < 4:
             continue
-        ratio = math.log((seen + 0.5) / n_toxic) - math.log((counts[0][form] + 0.5) / n_clean)
-        if ratio >= odds:
+        clean = counts[0][form]
+        ratio = math.log((seen + 0.5) / n_toxic) - math.log((clean + 0.5) / n_clean)
+        ways = math.lgamma(seen + clean + 1) - math.lgamma(seen + 1) - math.lgamma(clean + 1)
+        if ratio >= odds and ways + seen * share[0] + clean * share[1] + forms < 0:
             found[form] = ratio
     return found
 
@@ -156,7 +163,7 @@ def fit(texts: list[str], toxic: list[int]) -> Grammar:
     for part in (0, 1):
         own = range(part, len(texts), 2)
         other = range(1 - part, len(texts), 2)
-        lexicon = learn_lexicon([texts[i] for i in other], [toxic[i] for i in other], least=4)
+        lexicon = learn_lexicon([texts[i] for i in other], [toxic[i] for i in other])
         half, symbols = Grammar(lexicon), _Symbols(lexicon)
         rows += [half.features(texts[i], symbols) for i in own]
         labels += [toxic[i] for i in own]
