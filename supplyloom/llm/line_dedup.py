@@ -10,10 +10,11 @@ first ``n - ceil(0.8 n) + 1`` ones (prefix filter); lengths, the positions of th
 both sets bound the overlap from above (length, positional and bitmap filter). What passes is verified on the
 tokens themselves.
 
-In the list of one token, sorted by position, a line meets its ``NEIGHBOURS`` predecessors and the first line of
-the list; that is all there is in lists up to that length. Lines of longer lists that are still without a match
-then meet the rest of their lists. So a group of thousands of variants costs a few comparisons for each line and
-no pair is lost.
+Of two matching lines the shorter one (or equally long) has the shared token even among its first
+``n - ceil(8/9 n) + 1``. These near postings are joined with each other and with the far ones, so two far ones never meet. In a
+list with more than ``LONG`` near postings a line first meets the first line of the list alone; only lines that are
+still without a match then meet the rest of it. So a group of thousands of variants costs a few comparisons for each
+line, and no match is lost.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 from supplyloom.llm.common import staged
 
-BUCKETS = 131_072
-STEPS = (4, 64, 1024)  # a bucket with so many times the mean count holds common tokens
-NEIGHBOURS = 32
+BUCKETS = 1 << 21
+STEPS = (4, 16, 64, 256, 1024)  # a bucket with so many times the mean count holds common tokens
+RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
+LONG = 128
 NO_ID = -(1 << 63)  # a NULL id stands before all others
 SPACE = r"\s+"
 # bound of the overlap for Jaccard 4/5: ceil(4/9 (n + m))
@@ -37,11 +39,15 @@ MATCH = (
 )
 
 
+def _version(text_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(text_col)), F.lit(255))
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, version, text``; the version tells apart rows that share an id but not the text."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 15)).alias("version"),
+        _version(text_col).alias("version"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
@@ -80,15 +86,16 @@ def _common_buckets(docs: DataFrame, text_col: str) -> list[list[int]]:
 
     A list cannot hold more than BUCKETS / factor numbers, whatever the size of the corpus.
     """
-    counts = (
+    counts = staged(
         docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACE)).alias("token"))
         .select(_bucket(F.xxhash64("token")).alias("bucket"))
         .groupBy("bucket")
         .count()
     )
-    rows = counts.collect()  # at most BUCKETS pairs of numbers
-    mean = sum(r["count"] for r in rows) / BUCKETS
-    return [sorted(r.bucket for r in rows if r["count"] >= factor * mean) for factor in STEPS]
+    mean = (counts.agg(F.sum("count")).first()[0] or 0) / BUCKETS
+    unit = max(mean, RARE / STEPS[0])
+    rows = counts.filter(F.col("count") >= STEPS[0] * unit).collect()  # at most BUCKETS / 4 pairs of numbers
+    return [sorted(r.bucket for r in rows if r["count"] >= factor * unit) for factor in STEPS]
 
 
 def _bucket(h: Column) -> Column:
@@ -98,9 +105,9 @@ def _bucket(h: Column) -> Column:
 def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``token, doc, at, n, i, sig``: the prefix of each distinct line, at its earliest place."""
     level = "0L"
-    for k, common in enumerate(_common_buckets(docs, text_col), 1):
+    for k, common in reversed(list(enumerate(_common_buckets(docs, text_col), 1))):  # most tokens are in no list
         if common:
-            level = f"if(cast(pmod(h, {BUCKETS}) as int) in ({','.join(map(str, common))}), {k}L, {level})"
+            level = f"if(cast(pmod(h, {BUCKETS}) as int) in ({','.join(map(str, common))}), greatest({k}L, {level}), 0L)"
     # common tokens last, then by hash: a total order of the tokens
     ranks = F.expr(f"transform(hashes, h -> shiftleft({level}, 56) | shiftrightunsigned(h, 8))")
     sets = (
@@ -113,22 +120,42 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             *_same_line(),
             F.size("ranks").cast("long").alias("n"),
             F.expr("aggregate(ranks, 0L, (acc, r) -> acc ^ shiftleft(1L, cast(r & 63 as int)))").alias("sig"),
-            F.expr("slice(ranks, 1, size(ranks) - (4 * size(ranks) + 4) div 5 + 1)").alias("prefix"),
+            F.expr(
+                "transform(slice(ranks, 1, size(ranks) - (4 * size(ranks) + 4) div 5 + 1), r -> cast(r & 2147483647 as int))"
+            ).alias("prefix"),
         )
     )
     classes = _first_places(sets, "h1", "h2", "n", "sig", "prefix")
     return classes.select(
         F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "n", "sig", F.posexplode("prefix").alias("i", "token")
-    ).select("token", "doc", "at", "n", F.col("i").cast("long").alias("i"), "sig")
+    ).select("token", "doc", "at", "n", "i", "sig")
+
+
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc`` may be among ``wanted (doc)``: a bitmap of fixed size (1 MB) spares the others the
+    shuffle of a join that follows. It lets too many through, never too few."""
+    h = F.pmod(F.xxhash64("doc"), F.lit(1 << 23))
+    bits = wanted.groupBy(F.bitmap_bucket_number(h).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits"))
+    place = F.bitmap_bit_position(h).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(byte, place % 8) & 1") == 1
+    return (
+        docs.withColumn("bucket", F.bitmap_bucket_number(h))
+        .join(F.broadcast(bits), "bucket")
+        .withColumn("byte", byte)
+        .withColumn("place", place)
+        .filter(is_set)
+        .drop("bucket", "bits", "byte", "place")
+    )
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, at`` of the pairs (``doc, at, other_doc, other_at``) whose token sets have Jaccard 0.8 or more."""
-    wanted = (
+    wanted = staged(
         pairs.select("doc", "at").union(pairs.select("other_doc", "other_at")).groupBy("doc").agg(F.collect_set("at").alias("places"))
     )
     sets = staged(
-        _rows(docs, id_col, text_col)
+        _only(_rows(docs, id_col, text_col), wanted.select("doc"))
         .join(wanted, "doc")
         .select("doc", "version", F.split("text", "\n").alias("lines"), F.explode("places").alias("at"))
         .filter(F.shiftright("at", 32) == F.col("version"))
@@ -144,39 +171,44 @@ def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) ->
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, at`` of the distinct lines (at their earliest place) that match an earlier line which is not equal."""
-    by_token = Window.partitionBy("token").orderBy("doc", "at")
-    me = F.struct("doc", "at", "n", "i", "sig")
-    listed = (
-        _postings(docs, id_col, text_col)
+    postings = _postings(docs, id_col, text_col)
+    is_near = F.expr("i < n - (8 * n + 8) div 9 + 1")
+    first = Window.partitionBy("token").orderBy("doc", "at")
+    near = (
+        postings.filter(is_near)
         .withColumn("size", F.count("*").over(Window.partitionBy("token")))
-        .withColumn("rank", F.row_number().over(by_token))
-        .withColumn("first", F.first(me).over(by_token.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("before", F.collect_list(me).over(by_token.rowsBetween(-NEIGHBOURS, -1)))
-        .filter("size > 1")
-        .withColumn("long", F.col("size") > NEIGHBOURS + 1)
-        .withColumn("before", F.expr(f"if(rank > {NEIGHBOURS + 1}, array_append(before, first), before)"))
-    )
-    passes = MATCH.format(n="n", m="o.n", i="i", j="o.i", s="sig", t="o.sig")
-    found = staged(
-        listed.withColumn("others", F.expr(f"transform(filter(before, o -> {passes}), o -> struct(o.doc, o.at))"))
-        .select("token", "doc", "at", "n", "i", "sig", "others", "long")
-        .filter("long or size(others) > 0")
-    )
-    pairs = found.select("doc", "at", F.explode("others").alias("o")).select(
-        "doc", "at", F.col("o.doc").alias("other_doc"), F.col("o.at").alias("other_at")
-    )
-    near = staged(_verified(docs, staged(pairs.distinct()), id_col, text_col))
-    longs = found.filter("long").drop("others", "long")
-    rest = longs.join(near, ["doc", "at"], "left_anti")
-    others = longs.select(*(F.col(c).alias(f"other_{c}") for c in longs.columns))
-    passes = MATCH.format(n="n", m="other_n", i="i", j="other_i", s="sig", t="other_sig")
-    earlier = "(other_doc < doc or other_doc = doc and other_at < at)"
-    pairs = (
-        rest.join(others, (F.col("token") == F.col("other_token")) & F.expr(earlier) & F.expr(passes))
-        .select("doc", "at", "other_doc", "other_at")
-        .distinct()
-    )
-    return near.union(_verified(docs, staged(pairs), id_col, text_col))
+        .withColumn("place", F.row_number().over(first))
+    )
+    far = postings.filter(~is_near)
+    other = near.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "size", "place")))
+    passes = F.expr(MATCH.format(n="n", m="other_n", i="i", j="other_i", s="sig", t="other_sig"))
+    later = F.expr("doc > other_doc or (doc = other_doc and at > other_at)")
+    short, long_first = F.expr(f"other_size <= {LONG}"), F.expr(f"other_size > {LONG} and other_place = 1")
+    met = near.join(other, "token").filter((short & later & passes) | long_first).withColumn("near", F.lit(True)).drop("size", "place")
+    met = met.union(far.join(other, "token").filter((short & passes) | long_first).withColumn("near", F.lit(False)).select(met.columns))
+    met = staged(met.withColumn("passes", later & passes | passes & short).withColumn("long", long_first).drop("other_size", "other_place"))
+    found = _verified(docs, staged(_ordered(met.filter("passes")).distinct()), id_col, text_col)
+    found = staged(found)
+    long = met.filter("long").select("token", *PLACE, "near")
+    rest = long.join(found, ["doc", "at"], "left_anti")
+    others = long.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "near")))
+    near_rest = rest.join(others.filter("other_near"), "token").filter(later & passes)
+    far_rest = rest.filter("near").join(others.filter("not other_near"), "token").filter(later & passes)
+    pairs = staged(_ordered(near_rest).union(_ordered(far_rest)).distinct())
+    return found.union(_verified(docs, pairs, id_col, text_col)).distinct()
+
+
+PLACE = ("doc", "at", "n", "i", "sig")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """The later line of each pair as ``doc, at``, the earlier one as ``other_doc, other_at``."""
+    earlier = F.expr("doc < other_doc or (doc = other_doc and at < other_at)")
+    names = (("doc", "other_doc"), ("at", "other_at"))
+    return pairs.select(
+        *(F.when(earlier, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in names),
+        *(F.when(earlier, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in names),
+    )
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,7 +235,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return (
         docs.withColumn("__lines", F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).cast("long"))
         .withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
-        .withColumn("__hash", F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 15)))
+        .withColumn("__hash", _version(text_col))
         .join(gone, (F.col("__id") == F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
         .withColumn("__gone", F.coalesce("__numbers", F.expr("cast(array() as array<int>)")))
         .drop("__doc", "__version", "__numbers", "__id", "__hash")
