@@ -24,18 +24,17 @@ from pyspark.sql import functions as F
 
 from supplyloom.llm.common import staged
 
-BUCKETS = 1 << 21
+BUCKETS = 1 << 20
 STEPS = (4, 16, 64, 256, 1024)  # a bucket with so many times the mean count holds common tokens
 RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
 LONG = 128
 NO_ID = -(1 << 63)  # a NULL id stands before all others
 SPACE = r"\s+"
-# bound of the overlap for Jaccard 4/5: ceil(4/9 (n + m))
-OVERLAP = "((4 * ({n} + {m}) + 8) div 9)"
+# Jaccard 4/5 means an overlap of at least 4/9 (n + m) and at most 1/9 (n + m) tokens that differ
 MATCH = (
-    "5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
-    f" and least({{n}} - {{i}}, {{m}} - {{j}}) >= {OVERLAP}"
-    f" and bit_count({{s}} ^ {{t}}) <= {{n}} + {{m}} - 2 * {OVERLAP}"
+    "9 * bit_count({s} ^ {t}) <= {n} + {m}"
+    " and 9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
+    " and 5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
 )
 
 
@@ -131,42 +130,32 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).select("token", "doc", "at", "n", "i", "sig")
 
 
-def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc`` may be among ``wanted (doc)``: a bitmap of fixed size (1 MB) spares the others the
-    shuffle of a join that follows. It lets too many through, never too few."""
-    h = F.pmod(F.xxhash64("doc"), F.lit(1 << 23))
+def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``lines (doc, at, ...)`` that may be among ``wanted (doc, at)``: a bitmap of fixed size (1 MB) spares the
+    others the shuffle of the join that follows. It lets too many through, never too few."""
+    h = F.pmod(F.xxhash64("doc", "at"), F.lit(1 << 23))
     bits = wanted.groupBy(F.bitmap_bucket_number(h).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits"))
     place = F.bitmap_bit_position(h).cast("int")
     byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright(byte, place % 8) & 1") == 1
     return (
-        docs.withColumn("bucket", F.bitmap_bucket_number(h))
+        lines.withColumn("bucket", F.bitmap_bucket_number(h))
         .join(F.broadcast(bits), "bucket")
-        .withColumn("byte", byte)
-        .withColumn("place", place)
-        .filter(is_set)
-        .drop("bucket", "bits", "byte", "place")
+        .filter((F.call_function("shiftright", byte, place % 8).bitwiseAND(1)) == 1)
+        .select(lines.columns)
     )
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, at`` of the pairs (``doc, at, other_doc, other_at``) whose token sets have Jaccard 0.8 or more."""
-    wanted = staged(
-        pairs.select("doc", "at").union(pairs.select("other_doc", "other_at")).groupBy("doc").agg(F.collect_set("at").alias("places"))
+    wanted = staged(pairs.select("doc", "at").union(pairs.select("other_doc", "other_at")).distinct())
+    lines = staged(
+        _only(_lines(docs, id_col, text_col), wanted).join(wanted, ["doc", "at"]).groupBy("doc", "at").agg(F.first("line").alias("line"))
     )
-    sets = staged(
-        _only(_rows(docs, id_col, text_col), wanted.select("doc"))
-        .join(wanted, "doc")
-        .select("doc", "version", F.split("text", "\n").alias("lines"), F.explode("places").alias("at"))
-        .filter(F.shiftright("at", 32) == F.col("version"))
-        .select("doc", "at", F.array_distinct(_tokens(F.col("lines")[F.col("at").bitwiseAND((1 << 32) - 1).cast("int")])).alias("tokens"))
-        .dropDuplicates(["doc", "at"])
-    )
-    both = pairs.join(sets, ["doc", "at"]).join(
-        sets.select(F.col("doc").alias("other_doc"), F.col("at").alias("other_at"), F.col("tokens").alias("others")), ["other_doc", "other_at"]
-    )
-    common = F.size(F.array_intersect("tokens", "others"))
-    return both.filter(5 * common >= 4 * (F.size("tokens") + F.size("others") - common)).select("doc", "at").distinct()
+    others = lines.select(F.col("doc").alias("other_doc"), F.col("at").alias("other_at"), F.col("line").alias("other_line"))
+    both = pairs.join(lines, ["doc", "at"]).join(others, ["other_doc", "other_at"])
+    sets = both.select("doc", "at", F.array_distinct(_tokens(F.col("line"))).alias("x"), F.array_distinct(_tokens(F.col("other_line"))).alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return sets.filter(5 * common >= 4 * (F.size("x") + F.size("y") - common)).select("doc", "at").distinct()
 
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,14 +176,17 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = near.join(other, "token").filter((short & later & passes) | long_first).withColumn("near", F.lit(True)).drop("size", "place")
     met = met.union(far.join(other, "token").filter((short & passes) | long_first).withColumn("near", F.lit(False)).select(met.columns))
     met = staged(met.withColumn("passes", later & passes | passes & short).withColumn("long", long_first).drop("other_size", "other_place"))
-    found = _verified(docs, staged(_ordered(met.filter("passes")).distinct()), id_col, text_col)
-    found = staged(found)
+    candidates = _ordered(met.filter("passes"))
+    # one candidate of each line is tried first; nearly all that pass the filters match
+    tried = candidates.groupBy("doc", "at").agg(F.min("other_doc").alias("other_doc"), F.min_by("other_at", "other_doc").alias("other_at"))
+    found = staged(_verified(docs, staged(tried), id_col, text_col))
     long = met.filter("long").select("token", *PLACE, "near")
     rest = long.join(found, ["doc", "at"], "left_anti")
     others = long.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "near")))
     near_rest = rest.join(others.filter("other_near"), "token").filter(later & passes)
     far_rest = rest.filter("near").join(others.filter("not other_near"), "token").filter(later & passes)
-    pairs = staged(_ordered(near_rest).union(_ordered(far_rest)).distinct())
+    open_pairs = candidates.join(found, ["doc", "at"], "left_anti")
+    pairs = staged(open_pairs.union(_ordered(near_rest)).union(_ordered(far_rest)).distinct())
     return found.union(_verified(docs, pairs, id_col, text_col)).distinct()
 
 
