@@ -1,8 +1,8 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
-The vocabulary is a public byte-fallback BPE model; nothing is trained. A text is split into chunks (a run of word
-marks and what follows up to the next one) that no piece of the vocabulary crosses; the split is checked against
-the vocabulary when it is loaded. Within a chunk an agenda holds the candidate merges by score and
+The vocabulary is a public byte-fallback BPE model; nothing is trained. A text is split into chunks (word marks and the
+letters, or the other characters, that follow) that no piece of the vocabulary crosses; this is checked on the
+vocabulary when it is loaded. Within a chunk an agenda holds the candidate merges by score and
 position. When a candidate comes up, a hash keyed by seed, variant, chunk, position and merged piece decides whether it is
 skipped; a pair that changes its neighbours may come up again. The variant of a chunk follows from the key of its document
 and its place, so the same word is cut in ``variants`` different ways across a corpus and every run gives the same cut.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -22,10 +23,13 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CHUNK = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+LETTER = r"[^\W\d_¹²³]"
+CHUNK = re.compile(rf"\n|{MARK}*{LETTER}+|{MARK}*(?:[^\w\n{MARK}]|[\d_¹²³])+|{MARK}+")
+CROSSING = re.compile(rf"[^{MARK}]{MARK}|\n.|.\n|{LETTER}(?!{LETTER}).|(?!{LETTER})[^{MARK}]{LETTER}", re.DOTALL)
 DROPOUT = 0.1
 VARIANTS = 4
-CACHE = 150_000
+CACHE = 120_000  # chunks of each variant in either generation of the cache
+FULL = (1 << 64) - 1
 LONGEST = 200  # longer chunks are cut anew each time
 
 
@@ -42,8 +46,7 @@ class Vocabulary:
         normal = [i for i in range(len(self.pieces)) if i not in special and not sp.is_byte(i)]
         self.ids = {self.pieces[i]: i for i in normal}
         self.scores = {self.pieces[i]: sp.get_score(i) for i in normal}
-        inside = re.compile(f"[^{MARK}]{MARK}|\n.|.\n", re.DOTALL)
-        if len(self.bytes) != 256 or any(inside.search(p) for p in self.ids):
+        if len(self.bytes) != 256 or any(CROSSING.search(p) for p in self.ids):
             raise ValueError(f"{model} has no byte fallback, or pieces that cross a chunk")
         self.raw = [b""] * len(self.pieces)
         for value, i in self.bytes.items():
@@ -55,6 +58,13 @@ class Vocabulary:
         return [self.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
 
 
+def _mixed(x: int) -> int:
+    """A 64-bit number from the key of a candidate."""
+    x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & FULL
+    x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 & FULL
+    return x ^ (x >> 33)
+
+
 def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dropout: float = 0.0) -> list[int]:
     """Piece ids of one chunk by agenda-driven merging; a candidate is skipped if its keyed hash says so."""
     ids = vocabulary.ids
@@ -66,7 +76,7 @@ def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dro
     agenda: list[tuple[float, int, int, str]] = []
     scores = vocabulary.scores
     limit = int(dropout * 2**64)
-    key = f"{seed}\x00{variant}\x00{chunk}\x00" if limit else ""
+    key = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=(seed * 0x9E3779B97F4A7C15 + variant) & FULL) if limit else 0
 
     def propose(left: int) -> None:
         right = after[left]
@@ -82,7 +92,7 @@ def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dro
         _, left, right, merged = heapq.heappop(agenda)
         if symbols[left] is None or symbols[right] is None or after[left] != right or symbols[left] + symbols[right] != merged:
             continue
-        if limit and xxhash.xxh64_intdigest(f"{key}{left}\x00{merged}") < limit:
+        if limit and _mixed((key ^ (left * 0x9E3779B97F4A7C15 + ids[merged] * 0xC2B2AE3D27D4EB4F)) & FULL) < limit:
             continue
         symbols[left], symbols[right] = merged, None
         after[left] = after[right]
@@ -100,16 +110,21 @@ def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dro
 
 
 class _Cuts(dict):
-    """Chunk to its ids as packed bytes, for one variant; forgets everything when it is full."""
+    """Chunk to its ids as packed bytes, for one variant. When it is full it becomes the old generation, from which
+    chunks that are used again come back; what was not used meanwhile is forgotten."""
 
     def __init__(self, vocabulary: Vocabulary, variant: int, seed: int, dropout: float):
         super().__init__()
         self.arguments = (vocabulary, variant, seed, dropout)
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        packed = np.array(cut(chunk, *self.arguments), dtype=np.int32).tobytes()
+        packed = self.old.get(chunk)
+        if packed is None:
+            packed = array("i", cut(chunk, *self.arguments)).tobytes()
         if len(chunk) <= LONGEST:
             if len(self) >= CACHE:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = packed
         return packed
@@ -144,8 +159,8 @@ class Encoder:
         return b"".join(parts)
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
-        raw = self.vocabulary.raw
-        return b"".join([raw[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
+        pieces = map(self.vocabulary.raw.__getitem__, ids if isinstance(ids, list) else ids.tolist())
+        return b"".join(pieces)[1:].decode("utf-8", "surrogatepass")
 
 
 @lru_cache(maxsize=4)
