@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONDAY = date(1970, 1, 5)
-MAX_PERIODS = 255  # the period count is a one-byte number
 
 
 def _day(value: Column | date | datetime | str) -> Column:
@@ -63,7 +62,10 @@ def period_of(d: Column) -> Column:
 
 
 def fiscal_year_of_period(period: Column) -> Column:
-    return fiscal_year(F.to_date(F.concat(F.left(period, F.lit(6)), F.lit("01")), "yyyyMMdd"))
+    """Fiscal year of ``yyyyMM00`` as text; NULL where the first six characters are no year and month."""
+    known = period.rlike("^[0-9]{4}(0[1-9]|1[0-2])")
+    month = F.when(known, F.substring(period, 5, 2).cast("int"))
+    return (F.when(known, F.left(period, F.lit(4)).cast("int")) + F.when(month >= 10, 1).otherwise(0)).cast("string")
 
 
 def valid_at(period: Column, valid_from: Column, valid_to: Column) -> Column:
@@ -80,8 +82,8 @@ def is_valid_period(valid_from: Column, valid_to: Column, d: Column) -> Column:
 
 def previous_periods(as_of: date, n: int = 1) -> list[str]:
     """The ``n`` months before ``as_of``, oldest first."""
-    if not 0 <= n <= MAX_PERIODS:
-        raise ValueError(f"number of periods must be between 0 and {MAX_PERIODS}")
+    if n < 0:
+        raise ValueError("number of periods must not be negative")
     months = [as_of.year * 12 + as_of.month - 1 - back for back in range(n, 0, -1)]
     return [f"{m // 12:04d}{m % 12 + 1:02d}00" for m in months]
 

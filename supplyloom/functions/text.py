@@ -49,8 +49,8 @@ def as_int(col: Column) -> Column:
 
 
 def is_numeric(col: Column) -> Column:
-    """True for text that reads as a number; false for NULL."""
-    return col.try_cast("double").isNotNull()
+    """True for text of sign, digits, point and exponent that reads as a number; false for NULL, NaN, 5f and the like."""
+    return F.coalesce(col.cast("string").rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), F.lit(False))
 
 
 def presence_label(col: Column, present: str, absent: str) -> Column:

@@ -54,20 +54,22 @@ def line_items_text(record: DataFrame, xml_escape: bool = False) -> DataFrame:
 
     Equal lines are counted before anything is collected, so copies of a row cost one counter.
     """
+    return counted_lines_text(record.groupBy("po_number", "number_of_line_item").agg(F.count(F.lit(1)).alias("_n")), xml_escape)
+
+
+def counted_lines_text(counted: DataFrame, xml_escape: bool = False) -> DataFrame:
+    """The same from distinct lines ``po_number, number_of_line_item`` and how often they occur (``_n``)."""
     line = F.col("number_of_line_item").cast("string")
     if xml_escape:
         line = escape_markup(line)
     entry = F.concat(line, F.lit("\n"))
     # n copies of an entry, separated: n - 1 with the separator behind, one without
     repeated = F.concat(F.repeat(F.concat(entry, F.lit(";")), (F.col("_n") - 1).cast("int")), entry)
-    counted = (
-        record.groupBy("po_number", "number_of_line_item").agg(F.count(F.lit(1)).alias("_n")).withColumn("_entry", repeated)
-    )
-    numeric = dict(record.dtypes)["number_of_line_item"] in ("tinyint", "smallint", "int", "bigint")
-    chunk = (
-        F.floor(F.col("number_of_line_item") / LINES_PER_CHUNK) if numeric else F.left("number_of_line_item", F.lit(2))
-    )
-    return ordered_text(counted, ["po_number"], "_entry", ["number_of_line_item"], ";", chunk, name="line_items_text")
+    # numbers of any kind are put into chunks by value, texts by their first characters: both rise with the order
+    is_text = dict(counted.dtypes)["number_of_line_item"] == "string"
+    chunk = F.left("number_of_line_item", F.lit(2)) if is_text else F.floor(F.col("number_of_line_item") / LINES_PER_CHUNK)
+    lines = counted.withColumn("_entry", repeated)
+    return ordered_text(lines, ["po_number"], "_entry", ["number_of_line_item"], ";", chunk, name="line_items_text")
 
 
 def comment_history(comments: DataFrame, steps: DataFrame, xml_escape: bool = False) -> DataFrame:

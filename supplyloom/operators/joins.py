@@ -78,7 +78,7 @@ def fan_out(
     """One-to-many left join that stays whole and spread when one key owns a large share of ``right``.
 
     Keys with more than ``rows_per_task`` rows get as many salts as needed on both sides. There are at most
-    ``count(right) / rows_per_task`` such keys, which bounds what is broadcast. ``right_id`` is never NULL.
+    ``count(right) / rows_per_task`` such keys; Spark broadcasts them only below its threshold.
     """
     hot = (
         right.filter(F.col(key).isNotNull())
@@ -89,22 +89,22 @@ def fan_out(
     )
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = (
-        left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+        left.join(hot, F.col(key) == F.col("_hot"), "left")
         .withColumns({"_hot": F.col("_hot").isNotNull(), SALT: F.explode(F.sequence(F.lit(0), salts - 1))})
         .drop("_salts")
     )
     salted = (
-        right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn(SALT, F.pmod(F.xxhash64(right_id), salts).cast("int"))
+        right.join(hot, F.col(key) == F.col("_hot"), "left")
+        .withColumns({SALT: F.pmod(F.xxhash64(right_id), salts).cast("int"), "_match": F.lit(True)})
         .drop("_hot", "_salts")
     )
     # a salt without a match is no missing child: its key has children under other salts
-    joined = spread.join(salted, [key, SALT], "left").filter(~F.col("_hot") | F.col(right_id).isNotNull()).drop("_hot")
+    joined = spread.join(salted, [key, SALT], "left").filter(~F.col("_hot") | F.col("_match").isNotNull()).drop("_hot", "_match")
     return joined if keep_salt else joined.drop(SALT)
 
 
 def cross_periods(df: DataFrame, periods: Sequence[str], name: str = "period") -> DataFrame:
-    """Every row once per period. The list holds at most 255 literals, so this is a generator, not a join."""
+    """Every row once per period. The list holds a literal for each month, so this is a generator, not a join."""
     if not periods:
         return df.withColumn(name, F.lit("")).limit(0)
     return df.withColumn(name, F.explode(F.array(*[F.lit(p) for p in periods])))

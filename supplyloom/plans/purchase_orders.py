@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supplyloom.operators.aggregates import line_items_text
+from supplyloom.operators.aggregates import counted_lines_text
 from supplyloom.operators.joins import Lookup, denormalize
 
-ORDER_KEY = ("po_number", "period", "category_id")
+ORDER_KEY = ("po_number", "period", "_category_id", "category")
+SMALLEST = ("team", "sap_backend", "created_at", "_user", "po_created_by", "ifa_number", "ifa_supplier_name", "_are", "customer_id")
 
 
 def order_record_view(
@@ -20,42 +21,55 @@ def order_record_view(
     with_lines: bool = True,
     xml_escape: bool = False,
 ) -> DataFrame:
-    """One row per order, period and category, with the smallest value of each attribute.
+    """One row per order, period and known category, with the smallest value of each attribute.
 
-    All attributes are combined before the shuffle. The line item text covers the whole order,
-    whatever the category, and is NULL where the category is. ``with_lines=False`` leaves it out.
+    Lines whose category is not in the category table share one row without category. The record is read once: it
+    is reduced to one row per line of an order, and both the orders and the line item text come from there. The
+    text covers the whole order, whatever the category; it is NULL where no line of the row names a category or
+    the period is NULL. ``with_lines=False`` leaves it out.
     """
     named = denormalize(
         record,
         [
+            Lookup(category, "category_id", {"_category_id": "id", "category": "name"}),
             Lookup(team, "team_id", {"team": "name"}),
             Lookup(users, "po_created_by", {"_user": "Name"}, pk="GID"),
             Lookup(are, "are_id", {"_are": "name"}),
         ],
     )
-    attributes = named.groupBy(*ORDER_KEY).agg(
-        F.min("team").alias("team"),
-        F.min("sap_backend").alias("sap_backend"),
-        F.min("created_at").alias("created_at"),
-        F.coalesce(F.min("_user"), F.min("po_created_by")).alias("created_by"),
-        F.min("ifa_number").alias("ifa_number"),
-        F.min("ifa_supplier_name").alias("ifa_supplier_name"),
-        F.min("_are").alias("are"),
-        F.min("customer_id").alias("customer_id"),
+    lines = named.groupBy(*ORDER_KEY, "number_of_line_item").agg(
+        *(F.min(c).alias(c) for c in SMALLEST),
+        F.max(F.col("category_id").isNotNull() & F.col("period").isNotNull()).alias("_named"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    orders = lines.groupBy(*ORDER_KEY).agg(
+        *(F.min(c).alias(c) for c in SMALLEST),
+        F.max("_named").alias("_named"),
+        F.count("number_of_line_item").cast("int").alias("po_items_count"),
+    )
+    orders = orders.select(
+        "po_number",
+        "period",
+        F.col("_category_id").alias("category_id"),
+        "category",
+        "team",
+        "sap_backend",
+        "created_at",
+        F.coalesce("_user", "po_created_by").alias("created_by"),
+        "ifa_number",
+        "ifa_supplier_name",
+        F.col("_are").alias("are"),
+        "customer_id",
+        "po_items_count",
+        "_named",
     )
-    # the distinct count goes its own way: beside the attributes it would drag them through both its shuffles
-    counts = record.groupBy(*ORDER_KEY).agg(F.count_distinct("number_of_line_item").cast("int").alias("po_items_count"))
-    counts = counts.select(*[F.col(k).alias(f"_{k}") for k in ORDER_KEY], "po_items_count")
-    same_order = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in ORDER_KEY]
-    orders = attributes.join(counts, same_order).drop(*[f"_{k}" for k in ORDER_KEY])
-    orders = denormalize(orders, [Lookup(category, "category_id", {"category": "name"})])
     if with_lines:
-        text = line_items_text(record, xml_escape)
+        counted = lines.groupBy("po_number", "number_of_line_item").agg(F.sum("_n").alias("_n"))
+        text = counted_lines_text(counted, xml_escape)
         orders = orders.join(text, "po_number", "left").withColumn(
-            "line_items_text",
-            F.when(F.col("category_id").isNotNull() & F.col("period").isNotNull(), F.col("line_items_text")),
+            "line_items_text", F.when(F.col("_named"), F.col("line_items_text"))
         )
-    return orders
+    return orders.drop("_named")
 
 
 def new_items_by_team(requests: DataFrame, record_view: DataFrame) -> DataFrame:

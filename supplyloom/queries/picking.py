@@ -126,7 +126,7 @@ TEMPLATES = {"title": "{NEW_ITEMS} new items for {TEAM}", "body": "Dear {AGENT_N
 
 def _audience_sql(where: str, target: str, target_column: str) -> str:
     return with_roles(
-        "po_request record team user auth",
+        "po_request record po_category team user auth",
         f""", items AS ({NEW_ITEMS_SQL.format(where=where)})
         SELECT u.id AS user_id, full_name, email, t.name AS team, i.period, i.new_items {target_column},
         i.new_items || ' new items for ' || t.name AS title,

@@ -19,7 +19,8 @@ ROLES = {
     "record": f"""
         SELECT l_orderkey AS po_number, l_linenumber AS number_of_line_item, {_PERIOD} AS period,
                c_nationkey AS team_id, o_custkey AS customer_id, CAST(l_suppkey AS STRING) AS po_created_by,
-               o_orderpriority AS category_id, l_partkey AS ifa_number,
+               CASE WHEN l_linenumber IN (3, 5) THEN 'U' || CAST(l_linenumber AS STRING) ELSE o_orderpriority END AS category_id,
+               l_partkey AS ifa_number,
                'Part ' || CAST(l_partkey AS STRING) AS ifa_supplier_name, l_linestatus AS sap_backend,
                c_nationkey % 5 AS are_id, o_orderdate AS created_at,
                CAST(round(l_extendedprice * 100) AS BIGINT) AS cents

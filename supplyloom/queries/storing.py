@@ -68,27 +68,29 @@ def landed_company_files(t):
         WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16' AND event_type <> 'view'""",
 )
 def todays_attachments(t):
-    """The whole mailbox of the day; the page limit is tested apart."""
+    """The whole mailbox of the day."""
     files = F.when(F.col("event_type") == "view", F.array().cast("array<string>")).otherwise(
         F.array(F.concat(F.lit("first of "), F.col("event_type")), F.lit("second"))
     )
     box = t["events"].select("user_id", F.col("ts").alias("sent"), files.alias("attachments"))
-    found = mailbox.todays_attachments(box, date(2024, 1, 15), max_items=None)
+    found = mailbox.todays_attachments(box, date(2024, 1, 15))
     return found.withColumn("sent", F.date_format("sent", "yyyy-MM-dd HH:mm:ss"))
 
 
 REPORT_SCHEMA = "record_id bigint, customer_name string, received string"
-REPORT_SQL = "SELECT record_id, customer_name, input_received::VARCHAR AS received FROM r_dash"
+# texts with quotes, separators and line breaks must come back whole
+REPORT_SQL = "SELECT record_id, customer_name || chr(10) || '\"known\", as x' AS customer_name, input_received::VARCHAR AS received FROM r_dash"
 
 
 def _report(t):
-    return t["dash"].select("record_id", "customer_name", F.col("input_received").alias("received"))
+    name = F.concat("customer_name", F.lit("\n\"known\", as x"))
+    return t["dash"].select("record_id", name.alias("customer_name"), F.col("input_received").alias("received"))
 
 
 @query("io4_report_with_header", with_roles("dash", REPORT_SQL))
 def report_with_header(t):
     path = reports.write_report(_report(t), staged(t, "report"))
-    return t.spark.read.option("header", True).option("enforceSchema", False).schema(REPORT_SCHEMA).csv(path)
+    return reports.read_report(t.spark, path, REPORT_SCHEMA)
 
 
 @query(
@@ -101,9 +103,9 @@ def report_with_header(t):
 )
 def full_and_current_year_reports(t):
     full, current = reports.export_full_and_fy(_report(t), "received", staged(t, "export"), date(1998, 3, 10))
-    read = t.spark.read.option("header", True).schema(REPORT_SCHEMA)
-    return read.csv(full).select(F.lit("all").alias("report"), "*").unionByName(
-        read.csv(current).select(F.lit(current.rsplit("_", 1)[1]).alias("report"), "*")
+    everything, year = (reports.read_report(t.spark, p, REPORT_SCHEMA) for p in (full, current))
+    return everything.select(F.lit("all").alias("report"), "*").unionByName(
+        year.select(F.lit(current.rsplit("_", 1)[1]).alias("report"), "*")
     )
 
 

@@ -22,7 +22,8 @@ DEFAULTS = {
 def build_session(master: str = "local[8]", app: str = "supplyloom", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster pass the cluster's own session instead."""
     builder = SparkSession.builder.master(master).appName(app)
-    for name, value in {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}.items():
+    fixed = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for name, value in fixed.items():
         builder = builder.config(name, value)
     for name, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(name, value)
@@ -32,10 +33,11 @@ def build_session(master: str = "local[8]", app: str = "supplyloom", **extra: st
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime defaults on a session made elsewhere, leaving explicit choices alone."""
-    chosen = dict(spark.sparkContext.getConf().getAll())
+    """Set the runtime defaults on a session made elsewhere, leaving explicit choices alone, whether they were made at
+    the start or at run time. The time zone of such a session is never touched."""
+    chosen = spark.conf.getAll
     for name, value in DEFAULTS.items():
-        if name not in chosen:
+        if name not in chosen and name != "spark.sql.session.timeZone":
             spark.conf.set(name, value)
     return spark
 

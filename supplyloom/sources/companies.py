@@ -12,9 +12,10 @@ ROW_TAG = "Company"
 
 
 def changed_since(df: DataFrame, as_of: datetime, days: int = 1) -> DataFrame:
-    """Records changed on or after the moment ``days`` before ``as_of``."""
+    """Records changed on or after the moment ``days`` before ``as_of``; a time stamp that cannot be read never counts as
+    changed."""
     moment = (as_of - timedelta(days=days)).isoformat(sep=" ")
-    return df.filter(F.col("updated_at").cast("timestamp_ntz") >= F.lit(moment).cast("timestamp_ntz"))
+    return df.filter(F.col("updated_at").try_cast("timestamp_ntz") >= F.lit(moment).cast("timestamp_ntz"))
 
 
 def read_companies_xml(

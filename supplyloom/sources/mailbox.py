@@ -7,17 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAGE_SIZE = 1000  # a mailbox page holds at most this many mails
 
-
-def todays_attachments(mails: DataFrame, as_of: date, max_items: int | None = PAGE_SIZE) -> DataFrame:
+def todays_attachments(mails: DataFrame, as_of: date) -> DataFrame:
     """First attachment of each mail sent on ``as_of`` that has any.
 
-    ``mails`` has ``sent`` and ``attachments`` (array). The mailbox is read one page deep, newest mails
-    first; ``max_items=None`` reads all of it and filters at the scan.
+    ``mails`` has ``sent`` and ``attachments`` (array). All mails of the day count, however many there are.
     """
-    if max_items is not None:
-        mails = mails.orderBy(F.desc("sent")).limit(max_items)
     start = F.lit(as_of).cast("timestamp_ntz")
     sent_today = (F.col("sent") >= start) & (F.col("sent") < start + F.expr("INTERVAL 1 DAY"))
     return (

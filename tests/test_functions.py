@@ -56,12 +56,19 @@ def test_fiscal_calendar_and_null_rules(spark):
     ]
 
 
+def test_odd_numbers_and_periods(spark):
+    df = spark.createDataFrame([("NaN", "20181300"), ("5f", "x"), ("inf", None), ("-1.5e3", "20181000"), (None, "20180900"), ("1.", "")], "n string, p string")
+    got = df.select(text.is_numeric(F.col("n")).alias("n"), dates.fiscal_year_of_period(F.col("p")).alias("y")).collect()
+    assert [(r.n, r.y) for r in got] == [(False, None), (False, None), (False, None), (True, "2019"), (False, "2018"), (True, None)]
+
+
 def test_periods(spark):
     assert dates.previous_periods(date(2020, 2, 10), 3) == ["20191100", "20191200", "20200100"]
     assert sorted(r.period for r in dates.periods(spark, date(2020, 2, 29), 3).collect()) == ["20191100", "20191200", "20200100"]
     assert dates.periods(spark, date(2020, 2, 29), 0).count() == 0
+    assert len(dates.previous_periods(date(2020, 2, 10), 400)) == 400
     with pytest.raises(ValueError):
-        dates.previous_periods(date(2020, 1, 1), 256)
+        dates.previous_periods(date(2020, 2, 10), -1)
 
 
 def test_period_filter_with_gap(spark):

@@ -13,7 +13,7 @@ from supplyloom.plans.quality_sample import one_pick_per_step, quality_sample
 @pytest.mark.parametrize("limit", [1, 3, 1_000_000])
 def test_fan_out_is_a_plain_left_join_whatever_the_salting(spark, rows, limit):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, x string")
-    right = spark.createDataFrame([(1, 100 + i) for i in range(20)] + [(2, 7), (9, 8), (None, 5)], "k int, e int")
+    right = spark.createDataFrame([(1, 100 + i) for i in range(20)] + [(2, 7), (9, 8), (None, 5), (1, None), (2, None)], "k int, e int")
     got = joins.fan_out(left, right, "k", "e", rows_per_task=limit).select("k", "x", "e")
     assert rows(got) == rows(left.join(right, "k", "left").select("k", "x", "e"))
 
