@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.operators.aggregates import inactive_users
 from supplyloom.operators.joins import join_distinct
+from supplyloom.session import stable
 
 # fixed values
 USER_FIELDS = (
@@ -60,13 +61,11 @@ def anonymization_counts(users: DataFrame, mails: DataFrame, inactive: DataFrame
 def anonymize(users: DataFrame, mails: DataFrame, log: DataFrame, as_of: date | datetime, years: int = 1) -> Anonymized:
     """The whole job. Without a user still to anonymise both tables come back unchanged.
 
-    Users anonymised before are written again with the same values, so the job can be repeated.
+    Users anonymised before are written again with the same values, so the job can be repeated. The inactive users
+    are put into the shared folder once, so that users, mails and counts follow the same reading of the log.
     """
-    inactive = inactive_users(log, as_of, years)
-    pending = users.filter(F.col("is_anonymized") == 0).join(
-        inactive.select(F.col("created_by").alias("id")), "id", "left_semi"
-    )
-    counts = anonymization_counts(users, mails, inactive)
-    if pending.isEmpty():
+    inactive = stable(inactive_users(log, as_of, years))
+    counts = stable(anonymization_counts(users, mails, inactive))
+    if not counts.first().needs:
         return Anonymized(users, mails, counts)
     return Anonymized(anonymize_users(users, inactive), blank_mails(mails, inactive), counts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from supplyloom.functions.dates import add_workdays
 from supplyloom.functions.text import render_template, text_key
 from supplyloom.operators.updates import transition
 from supplyloom.plans.purchase_orders import new_items_by_team
+from supplyloom.session import stable
 
 # fixed values
 CREATED, IN_PROGRESS = 1, 3
@@ -91,3 +93,44 @@ def mark_reminded(requests: DataFrame, mails: DataFrame) -> tuple[DataFrame, Dat
     """All requests in progress are marked as reminded, provided any reminder went out."""
     sent = not mails.isEmpty()
     return transition(requests, (F.col("status_id") == IN_PROGRESS) & F.lit(sent), {"is_reminder_sent": 1})
+
+
+@dataclass(frozen=True)
+class MailRun:
+    notifications: DataFrame
+    reminders: DataFrame
+    requests: DataFrame
+    counts: DataFrame  # one row: notifications, notified, reminders
+
+
+def mail_run(
+    users: DataFrame,
+    team: DataFrame,
+    auth: DataFrame,
+    requests: DataFrame,
+    record_view: DataFrame,
+    as_of: datetime,
+    notification: Mapping[str, str],
+    reminder: Mapping[str, str],
+    signature: str | None = None,
+) -> MailRun:
+    """The whole run: notify, move the created requests on, and only then look for reminders.
+
+    A request created more than ten working days ago is notified and reminded in the same run. The mails are put into
+    the shared folder before anything is marked, so what was sent and what is marked agree.
+    """
+    people = (users, team, auth)
+    notifications = stable(notification_audience(*people, requests, record_view, as_of, notification, signature))
+    notified, changed = mark_notified(requests, notifications)
+    reminders = stable(reminder_audience(*people, notified, record_view, as_of, reminder, signature))
+    reminded, _ = mark_reminded(notified, reminders)
+
+    names = ("notifications", "notified", "reminders")
+
+    def part(df: DataFrame, value: Column, name: str) -> DataFrame:
+        return df.agg(value.alias(name)).select(*(F.col(n) if n == name else F.lit(0).cast("bigint").alias(n) for n in names))
+
+    rows = F.count(F.lit(1))
+    parts = part(notifications, rows, "notifications").union(part(changed, F.sum("n_changed"), "notified"))
+    counts = parts.union(part(reminders, rows, "reminders")).agg(*(F.sum(n).alias(n) for n in names))
+    return MailRun(notifications, reminders, reminded, counts)

@@ -161,6 +161,36 @@ def reminder_audience(t):
     )
 
 
+def _mails_sql(name: str, kind: str) -> str:
+    return f"""SELECT '{kind}' AS kind, u.id AS user_id, i.team, i.period, i.new_items FROM {name} i JOIN r_team t ON t.name = i.team
+        JOIN r_user u ON u.team_id = t.id WHERE u.id IN (SELECT user_id FROM r_auth WHERE lower(item_name) LIKE '%pomodule%')"""
+
+
+WAITING = (
+    "(is_reminder_sent = 0 OR is_reminder_sent IS NULL) AND CAST("
+    + due_sql("q.created_at", 10) + " AS TIMESTAMP) < TIMESTAMP '1998-04-01 12:00:00'"
+)
+
+
+@query(
+    "p9_p10_mail_run",
+    with_roles(
+        "po_request record po_category team user auth",
+        f""", fresh AS ({NEW_ITEMS_SQL.format(where="status_id = 1")}),
+        waiting AS ({NEW_ITEMS_SQL.format(where="status_id IN (1, 3) AND " + WAITING)})
+        {_mails_sql("fresh", "notification")} UNION ALL {_mails_sql("waiting", "reminder")}""",
+    ),
+)
+def mail_run(t):
+    """Both kinds of mail of one run; reminders see the state that the notifications leave."""
+    run = audiences.mail_run(
+        t["user"], t["team"], t["auth"], t["po_request"], order_view(t, with_lines=False), NOW, TEMPLATES, TEMPLATES
+    )
+    sets = ((run.notifications, "notification"), (run.reminders, "reminder"))
+    both = [mails.select(F.lit(kind).alias("kind"), "user_id", "team", "period", "new_items") for mails, kind in sets]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "p9_m4_mark_notified",
     with_roles("po_request", "SELECT po_number, CASE WHEN status_id = 1 THEN 3 ELSE status_id END AS status_id FROM r_po_request"),
