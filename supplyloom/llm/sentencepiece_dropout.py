@@ -30,11 +30,13 @@ DROPOUT = 0.1
 VARIANTS = 4
 CACHE = 120_000  # chunks of each variant in either generation of the cache
 FULL = (1 << 64) - 1
+PLACE_BITS = 32
+LAST_PLACE = (1 << PLACE_BITS) - 1
 LONGEST = 200  # longer chunks are cut anew each time
 
 
 class Vocabulary:
-    """Pieces, scores and byte pieces of a model file."""
+    """Pieces, the order in which merges come up, and byte pieces of a model file."""
 
     def __init__(self, model: str = MODEL):
         import sentencepiece
@@ -45,7 +47,8 @@ class Vocabulary:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         normal = [i for i in range(len(self.pieces)) if i not in special and not sp.is_byte(i)]
         self.ids = {self.pieces[i]: i for i in normal}
-        self.scores = {self.pieces[i]: sp.get_score(i) for i in normal}
+        self.by_rank = [self.pieces[i] for i in sorted(normal, key=lambda i: (-sp.get_score(i), i))]
+        self.ranks = {piece: rank for rank, piece in enumerate(self.by_rank)}
         if len(self.bytes) != 256 or any(CROSSING.search(p) for p in self.ids):
             raise ValueError(f"{model} has no byte fallback, or pieces that cross a chunk")
         self.raw = [b""] * len(self.pieces)
@@ -58,49 +61,42 @@ class Vocabulary:
         return [self.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
 
 
-def _mixed(x: int) -> int:
-    """A 64-bit number from the key of a candidate."""
-    x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & FULL
-    x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 & FULL
-    return x ^ (x >> 33)
-
-
 def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dropout: float = 0.0) -> list[int]:
     """Piece ids of one chunk by agenda-driven merging; a candidate is skipped if its keyed hash says so."""
-    ids = vocabulary.ids
-    if not dropout and chunk in ids and len(chunk) == 1:
-        return [ids[chunk]]
+    ids, ranks, by_rank = vocabulary.ids, vocabulary.ranks, vocabulary.by_rank
     symbols: list[str | None] = list(chunk)
     size = len(symbols)
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    agenda: list[tuple[float, int, int, str]] = []
-    scores = vocabulary.scores
     limit = int(dropout * 2**64)
     key = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=(seed * 0x9E3779B97F4A7C15 + variant) & FULL) if limit else 0
-
-    def propose(left: int) -> None:
-        right = after[left]
-        if right < size:
-            merged = symbols[left] + symbols[right]
-            score = scores.get(merged)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, right, merged))
-
-    for at in range(size - 1):
-        propose(at)
+    # a candidate is its rank and the place of its left symbol, in one number
+    agenda = [
+        rank << PLACE_BITS | at
+        for at in range(size - 1)
+        if (rank := ranks.get(symbols[at] + symbols[at + 1])) is not None
+    ]
+    heapq.heapify(agenda)
     while agenda:
-        _, left, right, merged = heapq.heappop(agenda)
-        if symbols[left] is None or symbols[right] is None or after[left] != right or symbols[left] + symbols[right] != merged:
+        code = heapq.heappop(agenda)
+        left, rank = code & LAST_PLACE, code >> PLACE_BITS
+        right = after[left]
+        merged = by_rank[rank]
+        if symbols[left] is None or right == size or symbols[left] + symbols[right] != merged:
             continue
-        if limit and _mixed((key ^ (left * 0x9E3779B97F4A7C15 + ids[merged] * 0xC2B2AE3D27D4EB4F)) & FULL) < limit:
+        if limit and ((key ^ code * 0x9E3779B97F4A7C15 & FULL) * 0xC4CEB9FE1A85EC53 & FULL) < limit:  # keyed hash
             continue
         symbols[left], symbols[right] = merged, None
-        after[left] = after[right]
-        if after[left] < size:
-            before[after[left]] = left
-            propose(left)
-        if before[left] >= 0:
-            propose(before[left])
+        right = after[left] = after[right]
+        if right < size:
+            before[right] = left
+            rank = ranks.get(merged + symbols[right])
+            if rank is not None:
+                heapq.heappush(agenda, rank << PLACE_BITS | left)
+        at = before[left]
+        if at >= 0:
+            rank = ranks.get(symbols[at] + merged)
+            if rank is not None:
+                heapq.heappush(agenda, rank << PLACE_BITS | at)
     out: list[int] = []
     for symbol in symbols:
         if symbol is not None:
