@@ -200,18 +200,19 @@ ROLES = {
                CASE WHEN c_custkey % 4 = 0 THEN '19981200' END AS valid_to, CAST(c_custkey % 5 AS INT) AS division_id,
                CAST(c_custkey % 6 AS INT) AS business_unit_id, c_nationkey AS country_id FROM {customer}""",
     "team_customer": """
-        SELECT n_nationkey * 100 + c_custkey AS id, n_nationkey AS team_id, c_custkey AS customer_id,
+        SELECT CAST(n_nationkey AS BIGINT) * 1000000000 + c_custkey AS id, n_nationkey AS team_id, c_custkey AS customer_id,
                CASE WHEN n_nationkey % 4 = 0 THEN '19970100' END AS valid_from,
                CASE WHEN n_nationkey % 5 = 0 THEN '19980600' END AS valid_to
-        FROM {nation} JOIN {customer} ON n_nationkey % 5 = c_custkey % 5 WHERE c_custkey < 25""",
+        FROM {nation} JOIN {customer} ON n_nationkey % 5 = c_custkey % 5""",
     "service_name": """
         SELECT r_regionkey AS id, CASE r_regionkey WHEN 0 THEN 'Supplier Qualification' WHEN 1 THEN 'Supplier qualification plus'
                ELSE 'Other service' END AS name FROM {region} WHERE r_regionkey < 3""",
     "service": """
-        SELECT n_nationkey * 100 + c_custkey AS id, n_nationkey * 100 + c_custkey AS team_customer_id,
+        SELECT CAST(n_nationkey AS BIGINT) * 1000000000 + c_custkey AS id,
+               CAST(n_nationkey AS BIGINT) * 1000000000 + c_custkey AS team_customer_id,
                CASE WHEN c_custkey % 10 < 7 THEN 0 WHEN c_custkey % 10 < 9 THEN 1 ELSE 2 END AS service_name_id,
                CASE WHEN n_nationkey % 6 = 0 THEN '19970400' END AS valid_from, CAST(NULL AS STRING) AS valid_to
-        FROM {nation} JOIN {customer} ON n_nationkey % 5 = c_custkey % 5 WHERE c_custkey < 25""",
+        FROM {nation} JOIN {customer} ON n_nationkey % 5 = c_custkey % 5""",
     "kpi_name": """
         SELECT n_nationkey AS id, CASE n_nationkey
                  WHEN 0 THEN 'Number of received Supplier Qualifications (Input)'
@@ -232,7 +233,7 @@ ROLES = {
         SELECT DISTINCT service_id * 20 + kpi_name_id AS id, service_id, team_id, kpi_name_id, CAST(NULL AS STRING) AS valid_from,
                CASE WHEN kpi_name_id = 3 THEN '19980100' END AS valid_to
         FROM (SELECT c_nationkey AS team_id, CAST(c_custkey % 11 AS INT) AS kpi_name_id,
-                     c_nationkey * 100 + c_nationkey % 5 + 5 * CAST(c_custkey % 5 AS INT) AS service_id
+                     CAST(c_nationkey AS BIGINT) * 1000000000 + c_nationkey % 5 + 5 * CAST(c_custkey % 5 AS INT) AS service_id
               FROM {customer}) AS offered""",
     "customer_visibility": """
         SELECT c_custkey AS id, c_nationkey AS team_id, 0 AS service_name_id, c_custkey AS customer_unit_id,
@@ -240,7 +241,7 @@ ROLES = {
                CASE WHEN c_custkey % 2 = 0 THEN '19980200' END AS valid_to FROM {customer}""",
     # prices per team, KPI, customer unit and fiscal year of the orders
     "kpi_threshold": """
-        SELECT (c_nationkey * 100 + root) * 20 + CAST(c_custkey % 11 AS INT) AS kpi_id, c_custkey AS customer_id,
+        SELECT (CAST(c_nationkey AS BIGINT) * 1000000000 + root) * 20 + CAST(c_custkey % 11 AS INT) AS kpi_id, c_custkey AS customer_id,
                CAST(fy - 1 AS STRING) || '1000' AS valid_from,
                CASE WHEN fy < 2001 THEN CAST(CASE WHEN c_custkey % 7 = 0 THEN 2018 ELSE fy END AS STRING) || '0900' END AS valid_to,
                CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 90 + fy % 10 AS DECIMAL(18,2)) END AS price,
