@@ -106,6 +106,7 @@ class Block:
         self.ids, self.points, self.nodes = ids, points, nodes
         self.real = points.astype(np.float64)
         self.norms = np.sqrt((self.real**2).sum(axis=1))
+        self.repeats = len(np.unique(ids)) < len(ids)
 
     @classmethod
     def unpack(cls, row, prefix: str) -> Block:
@@ -115,7 +116,7 @@ class Block:
 
 
 class Best:
-    """The k best (score, id) of each query of a block; ties go to the smaller id."""
+    """The k best (score, id) of each query of a block, each id once with its best score; ties go to the smaller id."""
 
     def __init__(self, n: int, k: int):
         self.k = k
@@ -126,6 +127,11 @@ class Best:
 
     def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         q, i, s = np.concatenate([self.query, query]), np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
+        order = np.lexsort((-s, i, q))
+        q, i, s = q[order], i[order], s[order]
+        again = np.zeros(len(q), dtype=bool)
+        again[1:] = (q[1:] == q[:-1]) & (i[1:] == i[:-1])
+        q, i, s = q[~again], i[~again], s[~again]
         order = np.lexsort((i, -s, q))
         q, i, s = q[order], i[order], s[order]
         first = np.searchsorted(q, q, side="left")
@@ -154,7 +160,7 @@ def search(queries: Block, data: Block, k: int, worst: np.ndarray | None = None)
         scores[queries.ids[q][:, None] == data.ids[d][None, :]] = -np.inf
         n = scores.shape[1]
         reach = best.worst[q]
-        if n > k:
+        if n > k and not data.repeats:  # of repeated ids the k largest scores may be fewer than k ids
             reach = np.maximum(reach, np.partition(scores, n - k, axis=1)[:, n - k])
         rows, cols = np.nonzero((scores >= reach[:, None]) & (scores > -np.inf))
         if len(rows):
@@ -251,7 +257,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     other rows gets all of them; repeated rows of an id count as one with its best score. No vectors or queries give no rows.
     """
     spark = vectors.sparkSession
-    vectors = staged(vectors)
+    vectors, queries = staged(vectors.dropDuplicates(["vec_id", "v"])), queries.dropDuplicates(["vec_id", "v"])
     width = vectors.agg(F.max(F.size("v"))).first()[0] or 0
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     out = ["query_id", "rank", "vec_id", "score"]

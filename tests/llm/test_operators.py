@@ -86,6 +86,30 @@ def test_top_k_equals_brute_force_with_ties(spark, monkeypatch):
     assert got == expected
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_top_k_counts_a_repeated_id_once(spark, monkeypatch, block):
+    monkeypatch.setattr(cover_tree, "BLOCK", block)
+    monkeypatch.setattr(cover_tree, "LEAF", 4)
+    rng = random.Random(12)
+    vectors = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(120)]
+    for i in rng.sample(range(120), 40):
+        v = [4 * x for x in vectors[i][1]]
+        vectors += [(i, v)] * 6 + [(i, [x + rng.choice([0, 0.02]) for x in v]) for _ in range(6)]
+    df = cover_tree.quantized(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in cover_tree.top_k(df, df.filter("vec_id % 20 = 0")).collect()}
+    ints = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in vectors]
+    expected = {}
+    for i in range(0, 120, 20):
+        best = {}
+        for _, q in (row for row in ints if row[0] == i):
+            for j, v in ints:
+                if j != i:
+                    best[j] = max(best.get(j, -(10**18)), sum(a * b for a, b in zip(q, v, strict=True)))
+        scored = sorted((-s, j) for j, s in best.items())[:5]
+        expected |= {(i, k): (j, -s) for k, (s, j) in enumerate(scored, 1)}
+    assert got == expected
+
+
 def test_top_k_with_few_or_no_vectors(spark):
     df = cover_tree.quantized(spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "vec_id long, embedding array<float>"))
     got = cover_tree.top_k(df, df.filter("vec_id = 0")).collect()
