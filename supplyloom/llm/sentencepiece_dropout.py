@@ -3,15 +3,18 @@
 The vocabulary is a public byte-fallback BPE model; nothing is trained. A text is split into chunks (word marks and the
 letters, or the other characters, that follow) that no piece of the vocabulary crosses; this is checked on the
 vocabulary when it is loaded. Within a chunk an agenda holds the candidate merges by score and
-position. When a candidate comes up, a hash keyed by seed, variant, chunk, position and merged piece decides whether it is
-skipped; a pair that changes its neighbours may come up again. The variant of a chunk follows from the key of its document
-and its place, so the same word is cut in ``variants`` different ways across a corpus and every run gives the same cut.
+position. When a candidate comes up, a hash keyed by seed, document id, place of the chunk, position and merged piece decides
+whether it is skipped; a pair that changes its neighbours may come up again. So every occurrence of a word is cut on its
+own, and every run gives the same cut. What the agenda does depends on the skipped candidates alone, so a cache holds, for a chunk
+and the candidates skipped so far, those that come up next and the cut if none of them is skipped; the hashes themselves are
+computed for every occurrence.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import sys
 from array import array
 from functools import lru_cache
 
@@ -27,12 +30,13 @@ LETTER = r"[^\W\d_¹²³]"
 CHUNK = re.compile(rf"\n|{MARK}*{LETTER}+|{MARK}*(?:[^\w\n{MARK}]|[\d_¹²³])+|{MARK}+")
 CROSSING = re.compile(rf"[^{MARK}]{MARK}|\n.|.\n|{LETTER}(?!{LETTER}).|(?!{LETTER})[^{MARK}]{LETTER}", re.DOTALL)
 DROPOUT = 0.1
-VARIANTS = 4
-CACHE = 120_000  # chunks of each variant in either generation of the cache
+CACHE = 250_000  # steps in either generation of the cache
 FULL = (1 << 64) - 1
+SPREAD, MIX, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 PLACE_BITS = 32
 LAST_PLACE = (1 << PLACE_BITS) - 1
-LONGEST = 200  # longer chunks are cut anew each time
+LONGEST = 32  # longer chunks are cut anew each time
+ROUND = 1 << 17  # characters of the texts that are encoded together
 
 
 class Vocabulary:
@@ -61,14 +65,34 @@ class Vocabulary:
         return [self.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
 
 
-def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dropout: float = 0.0) -> list[int]:
-    """Piece ids of one chunk by agenda-driven merging; a candidate is skipped if its keyed hash says so."""
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """Keys whose bits depend on all bits of the given ones (64 bits, unsigned)."""
+    keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(MIX)
+    keys = (keys ^ (keys >> np.uint64(27))) * np.uint64(MIX2)
+    return keys ^ (keys >> np.uint64(31))
+
+
+def chunk_keys(document: int, places: np.ndarray, seed: int) -> np.ndarray:
+    """The keys of chunks at these places of the document with this key."""
+    first = np.uint64((document + seed * MIX) & FULL)
+    return mixed(first + places.astype(np.uint64) * np.uint64(SPREAD))
+
+
+def skips(key: int, code: int, limit: int) -> bool:
+    """Whether the candidate is skipped in the chunk with this key."""
+    x = (key ^ code * SPREAD) & FULL
+    x = (x ^ x >> 30) * MIX & FULL
+    x = (x ^ x >> 27) * MIX2 & FULL
+    return x ^ x >> 31 < limit
+
+
+def merge(chunk: str, vocabulary: Vocabulary, skip) -> tuple[list[int], list[int]]:
+    """Piece ids of one chunk by agenda-driven merging, and the candidates taken; ``skip(code)`` tells what is left out."""
     ids, ranks, by_rank = vocabulary.ids, vocabulary.ranks, vocabulary.by_rank
     symbols: list[str | None] = list(chunk)
     size = len(symbols)
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    limit = int(dropout * 2**64)
-    key = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed=(seed * 0x9E3779B97F4A7C15 + variant) & FULL) if limit else 0
+    taken = []
     # a candidate is its rank and the place of its left symbol, in one number
     agenda = [
         rank << PLACE_BITS | at
@@ -83,8 +107,9 @@ def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dro
         merged = by_rank[rank]
         if symbols[left] is None or right == size or symbols[left] + symbols[right] != merged:
             continue
-        if limit and ((key ^ code * 0x9E3779B97F4A7C15 & FULL) * 0xC4CEB9FE1A85EC53 & FULL) < limit:  # keyed hash
+        if skip(code):
             continue
+        taken.append(code)
         symbols[left], symbols[right] = merged, None
         right = after[left] = after[right]
         if right < size:
@@ -102,57 +127,122 @@ def cut(chunk: str, vocabulary: Vocabulary, variant: int = 0, seed: int = 0, dro
         if symbol is not None:
             found = ids.get(symbol)
             out.extend([found] if found is not None else vocabulary.fallback(symbol))
-    return out
+    return out, taken
+
+
+def cut(chunk: str, vocabulary: Vocabulary, key: int = 0, seed: int = 0, dropout: float = 0.0, place: int = 0) -> list[int]:
+    """Piece ids of the chunk at one place of the document with this key."""
+    limit = int(dropout * 2**64)
+    own = int(chunk_keys(key, np.array([place]), seed)[0])
+    return merge(chunk, vocabulary, lambda code: limit and skips(own, code, limit))[0]
+
+
+def document_key(key: int | None) -> int:
+    return xxhash.xxh64_intdigest(str(key))
 
 
-class _Cuts(dict):
-    """Chunk to its ids as packed bytes, for one variant. When it is full it becomes the old generation, from which
-    chunks that are used again come back; what was not used meanwhile is forgotten."""
+class _Step:
+    """A chunk with some candidates skipped: the candidates that come up after the last of them, and the ids if none of these is
+    skipped too (both packed). ``next`` leads on by the candidate that is."""
 
-    def __init__(self, vocabulary: Vocabulary, variant: int, seed: int, dropout: float):
-        super().__init__()
-        self.arguments = (vocabulary, variant, seed, dropout)
-        self.old: dict[str, bytes] = {}
+    __slots__ = ("skipped", "known", "codes", "packed", "next")
 
-    def __missing__(self, chunk: str) -> bytes:
-        packed = self.old.get(chunk)
-        if packed is None:
-            packed = array("i", cut(chunk, *self.arguments)).tobytes()
-        if len(chunk) <= LONGEST:
-            if len(self) >= CACHE:
-                self.old = dict(self)
-                self.clear()
-            self[chunk] = packed
-        return packed
+    def __init__(self, chunk: str, vocabulary: Vocabulary, skipped: tuple[int, ...], known: int):
+        ids, taken = merge(chunk, vocabulary, skipped.__contains__)
+        self.skipped, self.known, self.packed = skipped, known, array("i", ids).tobytes()
+        self.codes = array("Q", taken[known:]).tobytes()
+        self.next: dict[int, _Step] = {}
 
 
 class Encoder:
-    """Encodes whole texts; one for each worker process, seed and dropout."""
+    """Encodes whole texts; one for each worker process, seed and dropout. The cache does not change any result."""
 
-    def __init__(self, model: str, seed: int, dropout: float, variants: int):
+    def __init__(self, model: str, seed: int, dropout: float, cache: int = CACHE):
         self.vocabulary = Vocabulary(model)
-        self.seed, self.variants = seed, variants
-        self.cuts = [_Cuts(self.vocabulary, v, seed, dropout) for v in range(variants)]
-        mark = self.vocabulary.fallback(MARK)
-        self.literal_mark = np.array(mark, dtype=np.int32).tobytes()
+        self.seed, self.dropout, self.cache = seed, dropout, cache
+        self.limit = int(dropout * 2**64)
+        self.steps: dict[str, _Step] = {}
+        self.old: dict[str, _Step] = {}
+        self.known = 0
+        self.literal_mark = array("i", self.vocabulary.fallback(MARK)).tobytes()
+
+    def _first(self, chunk: str) -> _Step:
+        step = self.steps.get(chunk)
+        if step is None:
+            if self.known >= self.cache:  # what was not used since the last time is forgotten
+                self.old, self.steps, self.known = self.steps, {}, 0
+            step = self.steps[chunk] = self.old.pop(chunk, None) or _Step(chunk, self.vocabulary, (), 0)
+            self.known += 1 + len(step.next)
+        return step
+
+    def _next(self, chunk: str, step: _Step, at: int) -> _Step:
+        """The step after skipping candidate number ``at`` of a step."""
+        code = int.from_bytes(step.codes[8 * at : 8 * at + 8], sys.byteorder)
+        found = step.next.get(code)
+        if found is None:
+            # what came up before the candidate stays as it is
+            found = step.next[code] = _Step(chunk, self.vocabulary, (*step.skipped, code), step.known + at)
+            self.known += 1
+        return found
 
     def encode(self, text: str | None, key: int | None) -> bytes:
         """Packed int32 ids; NULL and empty texts have none. A word mark that is in the text itself becomes bytes."""
-        if not text:
-            return b""
-        first = xxhash.xxh64_intdigest(f"{self.seed}\x00{key}") % self.variants
-        parts = []
-        for number, part in enumerate(text.split(MARK)):  # nearly always one part
-            if number:
-                parts.append(self.literal_mark)
-            marked = part.replace(" ", MARK) if number else MARK + part.replace(" ", MARK)
-            chunks = CHUNK.findall(marked)
-            packed: list[bytes] = [b""] * len(chunks)
-            for k in range(self.variants):
-                mine = self.cuts[(first + k) % self.variants]
-                packed[k :: self.variants] = map(mine.__getitem__, chunks[k :: self.variants])
-            parts += packed
-        return b"".join(parts)
+        return self.encode_all([text], [key])[0]
+
+    def encode_all(self, texts: list[str | None], keys: list[int | None]) -> list[bytes]:
+        out: list[bytes] = []
+        begin = length = 0
+        for i, text in enumerate(texts):
+            length += len(text or "")
+            if length >= ROUND or i == len(texts) - 1:
+                out += self._encoded(texts[begin : i + 1], keys[begin : i + 1])
+                begin, length = i + 1, 0
+        return out
+
+    def _encoded(self, texts: list[str | None], keys: list[int | None]) -> list[bytes]:
+        chunks: list[str | None] = []  # None is a word mark of the text itself
+        ends, marks = [], []
+        for text, key in zip(texts, keys, strict=True):
+            begin = len(chunks)
+            for number, part in enumerate(text.split(MARK) if text else ()):  # nearly always one part
+                if number:
+                    chunks.append(None)
+                chunks += CHUNK.findall(part.replace(" ", MARK) if number else MARK + part.replace(" ", MARK))
+            ends.append(len(chunks))
+            marks.append(chunk_keys(document_key(key), np.arange(len(chunks) - begin), self.seed))
+        own = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
+        packed: list[bytes] = [self.literal_mark] * len(chunks)
+        todo, steps = [], []
+        for i, chunk in enumerate(chunks):
+            if chunk is None:
+                continue
+            if len(chunk) > LONGEST:
+                key = int(own[i])
+                packed[i] = array("i", merge(chunk, self.vocabulary, lambda code, key=key: self.limit and skips(key, code, self.limit))[0]).tobytes()
+                continue
+            step = self.steps.get(chunk) or self._first(chunk)
+            packed[i] = step.packed
+            if step.codes:
+                todo.append(i)
+                steps.append(step)
+        while todo and self.limit:
+            codes = np.frombuffer(b"".join([s.codes for s in steps]), dtype=np.uint64)
+            sizes = np.array([len(s.codes) >> 3 for s in steps])
+            owner = np.repeat(np.arange(len(todo)), sizes)
+            hashes = mixed(own[np.array(todo)][owner] ^ codes * np.uint64(SPREAD))
+            hit = np.flatnonzero(hashes < np.uint64(min(self.limit, FULL)))
+            who, first = np.unique(owner[hit], return_index=True)
+            at = hit[first] - (np.cumsum(sizes) - sizes)[who]
+            again, following = [], []
+            for w, a in zip(who.tolist(), at.tolist(), strict=True):
+                i = todo[w]
+                step = self._next(chunks[i], steps[w], a)
+                packed[i] = step.packed
+                if step.codes:
+                    again.append(i)
+                    following.append(step)
+            todo, steps = again, following
+        return [b"".join(packed[a:b]) for a, b in zip([0, *ends], ends)]
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         pieces = map(self.vocabulary.raw.__getitem__, ids if isinstance(ids, list) else ids.tolist())
@@ -160,17 +250,16 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(model: str, seed: int, dropout: float, variants: int) -> Encoder:
-    return Encoder(model, seed, dropout, variants)
+def encoder(model: str, seed: int, dropout: float) -> Encoder:
+    return Encoder(model, seed, dropout)
 
 
-def encode(text: Column, key: Column, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS) -> Column:
-    """``array<int>`` of piece ids of every whole text. ``key`` (the document id) chooses the variants."""
+def encode(text: Column, key: Column, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT) -> Column:
+    """``array<int>`` of piece ids of every whole text. ``key`` (the document id) keys the hashes."""
 
     @F.arrow_udf("array<int>")
     def pieces(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        mine = encoder(model, seed, dropout, variants)
-        packed = [mine.encode(t, k) for t, k in zip(texts.to_pylist(), keys.to_pylist(), strict=True)]
+        packed = encoder(model, seed, dropout).encode_all(texts.to_pylist(), keys.to_pylist())
         offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
         values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
         return pa.ListArray.from_arrays(pa.array(offsets), values)
@@ -183,7 +272,7 @@ def decode(pieces: Column, model: str = MODEL) -> Column:
 
     @F.arrow_udf("string")
     def texts(batch: pa.Array) -> pa.Array:
-        mine = encoder(model, 0, 0.0, 1)
+        mine = encoder(model, 0, 0.0)
         offsets, values = batch.offsets.to_numpy(), batch.values.to_numpy()
         return pa.array([mine.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], type=pa.string())
 

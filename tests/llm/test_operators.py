@@ -253,6 +253,24 @@ def test_dropout_varies_and_is_lossless(spark):
     assert len({tuple(sentencepiece_dropout.cut("▁internationalization", mine.vocabulary, v, 0, 0.3)) for v in range(8)}) > 1
 
 
+def test_every_occurrence_is_cut_on_its_own():
+    text = "the encyclopedia of internationalization, " * 400 + "é" * 100 + " ▁ the end"
+    mine = sentencepiece_dropout.Encoder(sentencepiece_dropout.MODEL, 7, 0.1)
+    chunks = sentencepiece_dropout.CHUNK.findall("▁" + text[: text.index(" ▁")].replace(" ", "▁"))
+    cuts = {}
+    expected = []
+    for place, chunk in enumerate(chunks):
+        ids = sentencepiece_dropout.cut(chunk, mine.vocabulary, sentencepiece_dropout.document_key(5), 7, 0.1, place)
+        cuts.setdefault(chunk, set()).add(tuple(ids))
+        expected += ids
+    got = np.frombuffer(mine.encode(text, 5), dtype=np.int32).tolist()
+    assert got[: len(expected)] == expected and mine.decode(got) == text
+    assert len(cuts["▁internationalization"]) > 4 and len(cuts["▁encyclopedia"]) > 4
+    small = sentencepiece_dropout.Encoder(sentencepiece_dropout.MODEL, 7, 0.1, 3)  # the cache changes nothing
+    assert small.encode_all([text, None, text], [6, 1, 5]) == [mine.encode(text, 6), b"", mine.encode(text, 5)]
+    assert mine.encode(text, 5) != mine.encode(text, 6)
+
+
 # --- 5 ---------------------------------------------------------------------------------------------------
 
 
