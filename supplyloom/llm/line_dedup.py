@@ -2,7 +2,8 @@
 
 A line is the set of its tokens (separated by white space). Two lines match if the Jaccard similarity of their
 sets is at least 0.8. A line goes if any earlier line matches it, whether or not that one goes too; earlier
-means a smaller document id, or the same document and a smaller line number. Lines without tokens stay.
+means a smaller document id, or the same document and a smaller line number. Of rows with the same id (or none) and
+different texts, one stands before the other by text hash. Lines without tokens stay.
 
 Equal lines are first reduced to their earliest one. Tokens are ordered from rare to common by the
 levels of a hashed count table of fixed size; ties are ordered by hash, so the order is total. Lines that match share a token among their
@@ -29,6 +30,7 @@ STEPS = (4, 16, 64, 256, 1024)  # a bucket with so many times the mean count hol
 RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
 LONG = 128
 NO_ID = -(1 << 63)  # a NULL id stands before all others
+NUMBER_BITS = VERSION_BITS = 31  # a text holds less than 2 GB
 SPACE = r"\s+"
 # Jaccard 4/5 means an overlap of at least 4/9 (n + m) and at most 1/9 (n + m) tokens that differ
 MATCH = (
@@ -38,26 +40,30 @@ MATCH = (
 )
 
 
-def _version(text_col: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(text_col)), F.lit(255))
+def _version(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), F.col(text_col))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, version, text``; the version tells apart rows that share an id but not the text."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-        _version(text_col).alias("version"),
+        _version(id_col, text_col).alias("version"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, at, line`` of the lines that hold a token; ``at`` joins version and line number."""
+    """``doc, version, at, line`` of the lines that hold a token.
+
+    ``at`` orders the lines of an id: the upper bits of the version, then the line number. Only with the version, or with the
+    line itself (its hash ``h1``), is it the place of one line.
+    """
     return (
         _rows(docs, id_col, text_col)
         .select("doc", "version", F.posexplode(F.split("text", "\n")).alias("number", "line"))
         .filter(F.col("line").rlike(r"\S"))
-        .select("doc", (F.shiftleft("version", 32) + F.col("number")).alias("at"), "line")
+        .select("doc", "version", (F.shiftleft(F.shiftrightunsigned("version", 64 - VERSION_BITS), NUMBER_BITS) + F.col("number")).alias("at"), "line")
     )
 
 
@@ -65,13 +71,13 @@ def _tokens(line: Column) -> Column:
     return F.array_remove(F.split(line, SPACE), "")
 
 
-def _first_places(lines: DataFrame, *keys: str) -> DataFrame:
+def _first_places(lines: DataFrame, *keys: str, also: tuple[str, ...] = ()) -> DataFrame:
     """The earliest place of each group of equal lines, by a fixed-size minimum that combines before the shuffle."""
-    place = F.col("doc").cast("decimal(19,0)") * F.lit(1 << 48).cast("decimal(16,0)") + F.col("at")
+    place = F.col("doc").cast("decimal(19,0)") * F.lit(1 << (VERSION_BITS + NUMBER_BITS)).cast("decimal(19,0)") + F.col("at")
     return (
         lines.withColumn("place", place)
         .groupBy(*keys)
-        .agg(F.min_by("doc", "place").alias("first_doc"), F.min_by("at", "place").alias("first_at"))
+        .agg(F.min_by("doc", "place").alias("first_doc"), F.min_by("at", "place").alias("first_at"), *(F.min_by(c, "place").alias(f"first_{c}") for c in also))
     )
 
 
@@ -102,7 +108,7 @@ def _bucket(h: Column) -> Column:
 
 
 def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``token, doc, at, n, i, sig``: the prefix of each distinct line, at its earliest place."""
+    """``token, doc, at, h1, n, i, sig``: the prefix of each distinct line, at its earliest place."""
     level = "0L"
     for k, common in reversed(list(enumerate(_common_buckets(docs, text_col), 1))):  # most tokens are in no list
         if common:
@@ -126,14 +132,14 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     classes = _first_places(sets, "h1", "h2", "n", "sig", "prefix")
     return classes.select(
-        F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "n", "sig", F.posexplode("prefix").alias("i", "token")
-    ).select("token", "doc", "at", "n", "i", "sig")
+        F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "h1", "n", "sig", F.posexplode("prefix").alias("i", "token")
+    ).select("token", "doc", "at", "h1", "n", "i", "sig")
 
 
 def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``lines (doc, at, ...)`` that may be among ``wanted (doc, at)``: a bitmap of fixed size (1 MB) spares the
+    """Rows of ``lines (doc, at, h1, ...)`` that may be among ``wanted (doc, at, h1)``: a bitmap of fixed size (1 MB) spares the
     others the shuffle of the join that follows. It lets too many through, never too few."""
-    h = F.pmod(F.xxhash64("doc", "at"), F.lit(1 << 23))
+    h = F.pmod(F.xxhash64(*LINE), F.lit(1 << 23))
     bits = wanted.groupBy(F.bitmap_bucket_number(h).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits"))
     place = F.bitmap_bit_position(h).cast("int")
     byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
@@ -146,23 +152,23 @@ def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, at`` of the pairs (``doc, at, other_doc, other_at``) whose token sets have Jaccard 0.8 or more."""
-    wanted = staged(pairs.select("doc", "at").union(pairs.select("other_doc", "other_at")).distinct())
-    lines = staged(
-        _only(_lines(docs, id_col, text_col), wanted).join(wanted, ["doc", "at"]).groupBy("doc", "at").agg(F.first("line").alias("line"))
-    )
-    others = lines.select(F.col("doc").alias("other_doc"), F.col("at").alias("other_at"), F.col("line").alias("other_line"))
-    both = pairs.join(lines, ["doc", "at"]).join(others, ["other_doc", "other_at"])
-    sets = both.select("doc", "at", F.array_distinct(_tokens(F.col("line"))).alias("x"), F.array_distinct(_tokens(F.col("other_line"))).alias("y"))
+    """``doc, at, h1, h2`` of the later lines of the pairs whose token sets have Jaccard 0.8 or more."""
+    wanted = staged(pairs.select(*LINE).union(pairs.select(*(f"other_{c}" for c in LINE))).distinct())
+    lines = _lines(docs, id_col, text_col).select("doc", "at", *_same_line(), "line")
+    lines = staged(_only(lines, wanted).join(wanted, LINE).groupBy(*LINE).agg(F.first("h2").alias("h2"), F.first("line").alias("line")))
+    others = lines.select(*(F.col(c).alias(f"other_{c}") for c in (*LINE, "line")))
+    both = pairs.join(lines, LINE).join(others, [f"other_{c}" for c in LINE])
+    out = (*LINE, "h2")
+    sets = both.select(*out, F.array_distinct(_tokens(F.col("line"))).alias("x"), F.array_distinct(_tokens(F.col("other_line"))).alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return sets.filter(5 * common >= 4 * (F.size("x") + F.size("y") - common)).select("doc", "at").distinct()
+    return sets.filter(5 * common >= 4 * (F.size("x") + F.size("y") - common)).select(*out).distinct()
 
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, at`` of the distinct lines (at their earliest place) that match an earlier line which is not equal."""
+    """``doc, at, h1, h2`` of the distinct lines (at their earliest place) that match an earlier line which is not equal."""
     postings = _postings(docs, id_col, text_col)
     is_near = F.expr("i < n - (8 * n + 8) div 9 + 1")
-    first = Window.partitionBy("token").orderBy("doc", "at")
+    first = Window.partitionBy("token").orderBy(*LINE)
     near = (
         postings.filter(is_near)
         .withColumn("size", F.count("*").over(Window.partitionBy("token")))
@@ -171,32 +177,35 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     far = postings.filter(~is_near)
     other = near.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "size", "place")))
     passes = F.expr(MATCH.format(n="n", m="other_n", i="i", j="other_i", s="sig", t="other_sig"))
-    later = F.expr("doc > other_doc or (doc = other_doc and at > other_at)")
+    later = F.expr(LATER.format(a="", b="other_"))
     short, long_first = F.expr(f"other_size <= {LONG}"), F.expr(f"other_size > {LONG} and other_place = 1")
     met = near.join(other, "token").filter((short & later & passes) | long_first).withColumn("near", F.lit(True)).drop("size", "place")
     met = met.union(far.join(other, "token").filter((short & passes) | long_first).withColumn("near", F.lit(False)).select(met.columns))
     met = staged(met.withColumn("passes", later & passes | passes & short).withColumn("long", long_first).drop("other_size", "other_place"))
     candidates = _ordered(met.filter("passes"))
     # one candidate of each line is tried first; nearly all that pass the filters match
-    tried = candidates.groupBy("doc", "at").agg(F.min("other_doc").alias("other_doc"), F.min_by("other_at", "other_doc").alias("other_at"))
+    by = "other_h1"
+    tried = candidates.groupBy(*LINE).agg(*(F.min_by(f"other_{c}", by).alias(f"other_{c}") for c in LINE))
     found = staged(_verified(docs, staged(tried), id_col, text_col))
     long = met.filter("long").select("token", *PLACE, "near")
-    rest = long.join(found, ["doc", "at"], "left_anti")
+    rest = long.join(found, LINE, "left_anti")
     others = long.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "near")))
     near_rest = rest.join(others.filter("other_near"), "token").filter(later & passes)
     far_rest = rest.filter("near").join(others.filter("not other_near"), "token").filter(later & passes)
-    open_pairs = candidates.join(found, ["doc", "at"], "left_anti")
+    open_pairs = candidates.join(found, LINE, "left_anti")
     pairs = staged(open_pairs.union(_ordered(near_rest)).union(_ordered(far_rest)).distinct())
     return found.union(_verified(docs, pairs, id_col, text_col)).distinct()
 
 
-PLACE = ("doc", "at", "n", "i", "sig")
+LINE = ["doc", "at", "h1"]
+PLACE = (*LINE, "n", "i", "sig")
+LATER = "({a}doc > {b}doc or ({a}doc = {b}doc and ({a}at > {b}at or ({a}at = {b}at and {a}h1 > {b}h1))))"
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    """The later line of each pair as ``doc, at``, the earlier one as ``other_doc, other_at``."""
-    earlier = F.expr("doc < other_doc or (doc = other_doc and at < other_at)")
-    names = (("doc", "other_doc"), ("at", "other_at"))
+    """The later line of each pair as ``doc, at, h1``, the earlier one as ``other_doc, other_at, other_h1``."""
+    earlier = F.expr(LATER.format(a="other_", b=""))
+    names = [(c, f"other_{c}") for c in LINE]
     return pairs.select(
         *(F.when(earlier, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in names),
         *(F.when(earlier, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in names),
@@ -205,14 +214,14 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, version, numbers``: the sorted numbers (from 0) of the lines that go, for documents that lose any."""
-    matched = later_matches(docs, id_col, text_col).select(F.col("doc").alias("first_doc"), F.col("at").alias("first_at"), F.lit(True).alias("matched"))
-    lines = _lines(docs, id_col, text_col).select("doc", "at", *_same_line())
-    classes = _first_places(lines, "h1", "h2").join(matched, ["first_doc", "first_at"], "left")
+    matched = later_matches(docs, id_col, text_col).select("h1", "h2", F.lit(True).alias("matched")).distinct()
+    lines = _lines(docs, id_col, text_col).select("doc", "version", "at", *_same_line())
+    classes = _first_places(lines, "h1", "h2", also=("version",)).join(matched, ["h1", "h2"], "left")
     gone = lines.join(classes, ["h1", "h2"]).filter(
-        F.col("matched") | (F.col("doc") != F.col("first_doc")) | (F.col("at") != F.col("first_at"))
+        F.col("matched") | F.expr("doc <> first_doc or at <> first_at or version <> first_version")
     )
-    number = F.col("at").bitwiseAND((1 << 32) - 1).cast("int")
-    return gone.groupBy("doc", F.shiftright("at", 32).alias("version")).agg(F.sort_array(F.collect_set(number)).alias("numbers"))
+    number = F.col("at").bitwiseAND((1 << NUMBER_BITS) - 1).cast("int")
+    return gone.groupBy("doc", "version").agg(F.sort_array(F.collect_set(number)).alias("numbers"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,7 +236,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return (
         docs.withColumn("__lines", F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).cast("long"))
         .withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
-        .withColumn("__hash", _version(text_col))
+        .withColumn("__hash", _version(id_col, text_col))
         .join(gone, (F.col("__id") == F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
         .withColumn("__gone", F.coalesce("__numbers", F.expr("cast(array() as array<int>)")))
         .drop("__doc", "__version", "__numbers", "__id", "__hash")

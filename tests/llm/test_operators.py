@@ -456,6 +456,27 @@ def test_line_dedup_of_repeated_rows_and_empty_tables(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_line_dedup_of_many_texts_under_one_id(spark):
+    rng = random.Random(13)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(10)) for _ in range(700)]
+    texts = [f"{base[i]}\n{base[i + 1]} own{i}" if i % 3 else f"{base[i // 2]}\nclean{i} line{i}" for i in range(699)]
+    ids = [None if i % 2 else 7 for i in range(699)]
+    df = docs_of(spark, texts, ids=ids)
+    gone = {r.text: set(r["__gone"]) for r in line_dedup.dedup_lines(df).collect()}
+    order = sorted(range(699), key=lambda i: (ids[i] is not None, xxhash_of(spark, df)[texts[i]]))
+    removed = plain_removed([texts[i] for i in order])
+    assert gone == {texts[i]: set(removed[k]) for k, i in enumerate(order)}
+    assert any(gone.values()) and not all(gone.values())
+
+
+def xxhash_of(spark, df, known={}):
+    """The order of texts under one id: by the upper bits of the version, unsigned."""
+    if not known:
+        version = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").isNull(), F.col("text")), 33)
+        known |= {r.text: r.v for r in df.select("text", version.alias("v")).collect()}
+    return known
+
+
 # --- 10 --------------------------------------------------------------------------------------------------
 
 
