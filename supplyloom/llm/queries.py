@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from supplyloom.llm import (
     cover_tree,
     decontaminate,
+    filter_audit,
     language,
     line_dedup,
     personal_data,
@@ -161,3 +162,60 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+AUDIT_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+        length(coalesce(text, '')) AS n_chars, length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_capitals
+    FROM documents
+), l AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, MAP {
+        'A': len(words) < 200,
+        'B': 100 * len(list_distinct(words)) < 50 * len(words),
+        'C': 100 * n_capitals > 3 * n_chars,
+        'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)} AS fails
+    FROM d LEFT JOIN l USING (doc_id)
+), cell AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+), letter AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), chain AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), step AS (
+    SELECT filter_order, step, filter_order[step] AS x, string_split(filter_order[1:step - 1], '') AS before,
+        list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: y <> filter_order[step]) AS others
+    FROM chain, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), judged AS (
+    SELECT part, filter_order, step, x, n, good, toxic, fails[x] AS failing,
+        coalesce(list_bool_or(list_transform(list_filter(before, lambda y: y <> ''), lambda y: fails[y])), false) AS gone,
+        list_bool_or(list_transform(others, lambda y: fails[y])) AS fails_other
+    FROM cell, step
+), counted AS (
+    SELECT part, filter_order, step, x,
+        sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN failing AND NOT fails_other THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost
+    FROM judged GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of five filters at every step of all their orders, per language."""
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
