@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyloom.llm import (
+    balanced_mix,
     cover_tree,
     decontaminate,
     filter_audit,
+    importance,
     language,
     line_dedup,
     personal_data,
@@ -219,3 +221,17 @@ FROM counted
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of five filters at every step of all their orders, per language."""
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_importance_resampling")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and draw of every document towards the benchmark texts."""
+    ranked = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_source_mix")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document a mix of the sources at their target weights takes."""
+    plan = balanced_mix.mix_plan(table(spark, folder, "documents"))
+    return balanced_mix.per_row(plan).select("doc_id", "size", "source_size", "target", "taken")
