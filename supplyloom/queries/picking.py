@@ -91,7 +91,7 @@ def drawn_sql(rows: str, entity: str) -> str:
         ORDER BY {hash_sql(f'{SEED}-{entity}-entity')}, {ORDER}) = 1"""
 
 
-SAMPLE_SQL = (
+SAMPLE_CTES = (
     PERCENT_CTES
     + f""", big AS (SELECT * FROM rec WHERE team_id IN (SELECT team_id FROM volume WHERE n >= {MIN_ROWS})),
         by_customer AS (SELECT po_number, category_id FROM big JOIN ({drawn_sql('big', 'customer_id')}) d USING (team_id, customer_id)
@@ -100,11 +100,11 @@ SAMPLE_SQL = (
         by_creator AS (SELECT po_number, category_id FROM rec JOIN ({drawn_sql('rec', 'po_created_by')}) d USING (team_id, po_created_by)
         WHERE po_number NOT IN (SELECT po_number FROM r_po_request) AND po_number NOT IN (SELECT po_number FROM first_step)
         AND po_number NOT IN (SELECT po_number FROM by_customer)
-        QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY {hash_sql(f'{SEED}-po_created_by')}, {ORDER}) = 1)
-        SELECT po_number, category_id, '{PERIOD}' AS period, 'team' AS q_type, 1 AS status_id, '1998-04-01 12:00:00' AS created_at,
-        9 AS created_by FROM (SELECT po_number, category_id FROM first_step UNION ALL SELECT * FROM by_customer
-        UNION ALL SELECT * FROM by_creator)"""
+        QUALIFY row_number() OVER (PARTITION BY team_id ORDER BY {hash_sql(f'{SEED}-po_created_by')}, {ORDER}) = 1),
+        picks AS (SELECT po_number, category_id FROM first_step UNION ALL SELECT * FROM by_customer UNION ALL SELECT * FROM by_creator)"""
 )
+SAMPLE_SQL = f"""{SAMPLE_CTES} SELECT po_number, category_id, '{PERIOD}' AS period, 'team' AS q_type, 1 AS status_id,
+        '1998-04-01 12:00:00' AS created_at, 9 AS created_by FROM picks"""
 
 
 @query(

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from supplyloom.operators.updates import update_from
+from supplyloom.plans.quality_sample import quality_sample
+from supplyloom.queries.picking import MIN_ROWS, NOW, PERIOD, ROW_KEY, SAMPLE_CTES, SEED
 from supplyloom.queries.registry import query
 from supplyloom.queries.roles import with_roles
 from supplyloom.session import shared_folder
-from supplyloom.sources import companies, mailbox, reports, runlog, tables
+from supplyloom.sources import companies, ingest, mailbox, reports, runlog, tables, versions
 
 
 def staged(t, name: str) -> str:
@@ -60,6 +66,70 @@ def landed_company_files(t):
     return companies.read_companies_xml(t.spark, path, COMPANY, AS_OF).select("id", "name", "updated_at")
 
 
+# Changes of companies: every order is a change of its customer at the time of the order. The second delivery repeats the first
+# and adds what was missing; some records have no time, others no number.
+FIRST_UNTIL, SECOND_UNTIL = datetime(1997, 6, 1), datetime(1998, 2, 1)
+LATENESS = timedelta(days=90)
+DELIVERED = """delivered AS (SELECT o_custkey AS id, o_orderkey AS seen, o_orderdate AS changed, o_orderkey % 89 = 0 AS no_id,
+        o_orderkey % 97 = 0 AS no_time, o_orderdate < TIMESTAMP '1997-06-01' AND o_orderkey % 5 <> 0 AS in_first FROM orders
+        WHERE o_orderdate < TIMESTAMP '1998-02-01'),
+        good AS (SELECT id, changed, bool_or(in_first) AS in_first FROM delivered WHERE NOT no_id AND NOT no_time GROUP BY ALL),
+        mark AS (SELECT max(changed) AS m FROM good WHERE in_first),
+        bad AS (SELECT CASE WHEN no_id THEN 'corrupt' ELSE 'no time of change' END AS kind, CASE WHEN no_id THEN NULL ELSE id END AS id,
+        CASE WHEN no_id THEN seen END AS seen, CASE WHEN no_time THEN NULL ELSE changed END AS changed, bool_or(in_first) AS in_first
+        FROM delivered WHERE no_id OR no_time GROUP BY ALL),
+        judged AS (SELECT CASE WHEN in_first THEN 'first' ELSE 'second' END AS run, CASE WHEN in_first OR changed >= m - INTERVAL 90 DAY
+        THEN 'accepted' ELSE 'late' END AS kind, id, changed FROM good, mark)"""
+
+
+def company_changes(t, path: str, first: bool):
+    """Land one delivery as XML files of at most 10,000 orders and read its records."""
+    listed = t["orders"].filter(F.col("o_orderdate") < F.lit(SECOND_UNTIL))
+    if first:
+        listed = listed.filter((F.col("o_orderdate") < F.lit(FIRST_UNTIL)) & (F.col("o_orderkey") % 5 != 0))
+    number = F.when(F.col("o_orderkey") % 89 == 0, F.concat(F.lit("no "), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_custkey").cast("string"))
+    time = F.when(F.col("o_orderkey") % 97 == 0, F.lit("unknown")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    body = F.to_xml(F.struct(number.alias("id"), time.alias("updated_at")), {"rowTag": companies.ROW_TAG})
+    documents = listed.groupBy(F.floor(F.col("o_orderkey") / 10_000).alias("document")).agg(
+        F.concat(F.lit("<companies>"), F.array_join(F.collect_list(body), "\n"), F.lit("</companies>")).alias("xml")
+    )
+    documents.write.partitionBy("document").text(path)
+    return ingest.read_records(t.spark, path, StructType.fromDDL("id bigint, updated_at string"))
+
+
+@query(
+    "io2_incremental_pull",
+    f"""WITH {DELIVERED} SELECT kind, run, id, strftime(changed, '%Y-%m-%d %H:%M:%S') AS updated_at, CAST(1 AS BIGINT) AS n FROM judged
+        WHERE kind = 'accepted'
+        UNION ALL SELECT kind, 'second', NULL, NULL, count(*) FROM judged WHERE kind = 'late' GROUP BY kind
+        UNION ALL SELECT kind, CASE WHEN in_first THEN 'first' ELSE 'second' END, NULL, NULL, count(*) FROM bad GROUP BY 1, 2
+        UNION ALL SELECT 'log of ' || run, 'accepted', NULL, NULL, count(*) FROM judged WHERE kind = 'accepted' GROUP BY run""",
+)
+def incremental_pull(t):
+    """Two overlapping deliveries, the second pulled twice: changes by run, quarantine and run log."""
+    changes, quarantine, log = (staged(t, name) for name in ("changes", "quarantine", "log"))
+    first = company_changes(t, staged(t, "delivery"), True)
+    second = company_changes(t, staged(t, "delivery"), False)
+    for run, records, as_of in (("first", first, FIRST_UNTIL), ("second", second, SECOND_UNTIL), ("second", second, SECOND_UNTIL)):
+        ingest.pull(records, changes, quarantine, "companies", run, as_of, lateness=LATENESS, log_path=log)
+    empty = F.lit(None)
+    parts = []
+    for run in ("first", "second"):
+        accepted = versions.read_runs(t.spark, changes, lambda key, run=run: key == run)
+        aside = versions.read_runs(t.spark, quarantine, lambda key, run=run: key == run)
+        time = F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at")
+        parts.append(accepted.select(F.lit("accepted").alias("kind"), F.lit(run).alias("run"), "id", time, F.lit(1).cast("long").alias("n")))
+        counted = aside.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select("kind", F.lit(run).alias("run"), empty.cast("long").alias("id"), empty.cast("string").alias("updated_at"), "n"))
+    # the repeated pull has logged the same count again
+    logged = t.spark.read.parquet(log).select(
+        F.when(F.col("created_at") == F.lit(FIRST_UNTIL), "log of first").otherwise("log of second").alias("kind"),
+        F.lit("accepted").alias("run"), empty.cast("long").alias("id"), empty.cast("string").alias("updated_at"),
+        F.col("metrics")["accepted"].alias("n"),
+    ).distinct()
+    return reduce(DataFrame.unionByName, [*parts, logged])
+
+
 @query(
     "io3_todays_attachments",
     """SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS sent, 'first of ' || event_type AS attachment FROM events
@@ -116,6 +186,82 @@ def replace_table(t):
     return tables.materialize(rows, path)
 
 
+@query(
+    "io6_versioned_replace_from_itself",
+    with_roles(
+        "dash",
+        """SELECT record_id, upper(customer_name) AS customer_name, n FROM r_dash JOIN (SELECT customer_name, count(*) AS n FROM r_dash
+        WHERE doubles = 0 GROUP BY customer_name) USING (customer_name) WHERE doubles = 0""",
+    ),
+)
+def versioned_replace(t):
+    """The table is replaced by a query over its own rows; the last but one version is vacuumed."""
+    path = staged(t, "versions")
+    versions.replace(t["dash"].select("record_id", "customer_name", "doubles"), path)
+    rows = versions.read(t.spark, path).filter("doubles = 0")
+    counts = rows.groupBy("customer_name").agg(F.count(F.lit(1)).alias("n"))
+    versions.replace(rows.join(counts, "customer_name").select("record_id", F.upper("customer_name").alias("customer_name"), "n"), path)
+    versions.vacuum(t.spark, path, keep=1, min_age_hours=0)
+    return versions.read(t.spark, path)
+
+
+@query(
+    "io6_m2_stored_updates",
+    with_roles(
+        "request user escalation",
+        """SELECT id, c.full_name AS created_by_name,
+        coalesce((SELECT max(e.id) FROM r_escalation e WHERE e.request_id = r.id), -1) AS last_escalation FROM r_request r
+        LEFT JOIN (SELECT id AS user_id, full_name FROM r_user) c ON c.user_id = r.created_by""",
+    ),
+)
+def stored_updates(t):
+    """A stored report table, updated in place from two other tables, each update a version of its own."""
+    path = staged(t, "versions")
+    versions.replace(t["request"].select("id", "created_by", F.lit(-1).cast("bigint").alias("last_escalation")), path)
+    names = t["user"].select(F.col("id").alias("created_by"), F.col("full_name").alias("created_by_name"))
+    versions.update(t.spark, path, lambda rows: update_from(rows, names, ["created_by"], ["created_by_name"]))
+    last = t["escalation"].select(F.col("request_id").alias("id"), F.col("id").alias("last_escalation"))
+    versions.update(
+        t.spark, path, lambda rows: update_from(rows, last, ["id"], ["last_escalation"], "keep", [F.desc("last_escalation")])
+    )
+    return versions.read(t.spark, path).select("id", "created_by_name", "last_escalation")
+
+
+@query(
+    "io8_p8_repeated_sample",
+    with_roles(
+        "record po_request",
+        f"""{SAMPLE_CTES} SELECT po_number, category_id, period, status_id FROM r_po_request
+        UNION ALL SELECT po_number, category_id, '{PERIOD}', 1 FROM picks""",
+    ),
+)
+def repeated_sample(t):
+    """The sample of a period is drawn and appended twice; the table holds it once."""
+    path = staged(t, "requests")
+    versions.append_run(t["po_request"].select("po_number", "category_id", "period", "status_id"), path, "before")
+    for _ in range(2):
+        prior = versions.read_runs(t.spark, path, lambda run: run != PERIOD)
+        sample = quality_sample(t["record"], prior, PERIOD, SEED, NOW, 9, ROW_KEY, MIN_ROWS)
+        versions.append_run(sample.select("po_number", "category_id", "period", "status_id"), path, PERIOD)
+    return versions.read(t.spark, path)
+
+
+@query(
+    "io8_append_runs",
+    with_roles("dash po_request", "SELECT record_id, status FROM r_dash UNION ALL SELECT po_number, CAST(NULL AS VARCHAR) FROM r_po_request"),
+)
+def append_runs(t):
+    """Three runs, one of them first with rows it should not have had; two are then kept as one part."""
+    path = staged(t, "runs")
+    done = F.col("status") == "Finished"
+    versions.append_run(t["po_request"].select(F.col("po_number").alias("record_id")), path, "requests")
+    versions.append_run(t["dash"].select("record_id", "status"), path, "finished")
+    versions.append_run(t["dash"].filter(~done).select("record_id", "status"), path, "open")
+    versions.append_run(t["dash"].filter(done).select("record_id", "status"), path, "finished")
+    versions.compact(t.spark, path, ["finished", "open"], "dash")
+    return versions.read(t.spark, path)
+
+
 @query(
     "io8_append_rows",
     with_roles(

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import AtomicType, StringType, StructField, StructType
 
 from supplyloom.operators.windows import first_per_key
 from supplyloom.session import stable
@@ -37,10 +38,20 @@ class Pull:
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType, row_tag: str = ROW_TAG) -> DataFrame:
-    """Records of the XML files under ``path``; one that does not fit ``schema`` keeps its text in ``_corrupt_record``."""
-    wanted = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
+    """Records of the XML files under ``path``. One with a value that does not fit ``schema`` keeps its texts, as JSON, in
+    ``_corrupt_record``; of a document that is no XML that column holds the text.
+
+    Plain values are read as text and cast here, because the reader itself would keep the whole document for every bad value.
+    """
+    plain = [f.name for f in schema.fields if isinstance(f.dataType, AtomicType)]
+    texts = [StructField(f.name, StringType() if f.name in plain else f.dataType) for f in schema.fields]
     reader = spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(wanted).load(path)
+    read = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(StructType([*texts, StructField(CORRUPT_COLUMN, StringType())]))
+    records = read.load(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) if f.name in plain else F.col(f.name) for f in schema.fields}
+    misfit = reduce(lambda a, b: a | b, [F.col(n).isNotNull() & typed[n].isNull() for n in plain], F.lit(False))
+    corrupt = F.coalesce(CORRUPT_COLUMN, F.when(misfit, F.to_json(F.struct(*schema.names))))
+    return records.select(*[c.alias(n) for n, c in typed.items()], corrupt.alias(CORRUPT_COLUMN))
 
 
 def marks_before(state: Mapping[str, object], source: str, run_id: str) -> list[list[str]]:
