@@ -85,15 +85,13 @@ def run_sums(text: str) -> Iterator[tuple[int, list[int]]]:
 
 def bucket_counts(text: str | None) -> tuple[int, int, bytes, bytes]:
     """Words, runs, and the buckets of the runs with their counts; at most ``BUCKETS`` of them for a text of any length."""
-    n_words, n_runs, total = 0, 0, np.zeros(0, dtype=np.int64)
-    if text:
-        for words, sums in run_sums(text):
-            n_words += words
-            n_runs += len(sums)
-            part = np.bincount(np.array(sums, dtype=np.uint32) % BUCKETS, minlength=BUCKETS) if sums else 0
-            total = part if total.size == 0 else total + part
+    n_words, n_runs, total = 0, 0, np.zeros(BUCKETS, dtype=np.int64)
+    for words, sums in run_sums(text or ""):
+        n_words += words
+        n_runs += len(sums)
+        total += np.bincount(np.array(sums, dtype=np.uint32) % BUCKETS, minlength=BUCKETS)
     found = np.flatnonzero(total)
-    return n_words, n_runs, found.astype("<u2").tobytes(), np.asarray(total)[found].astype("<u4").tobytes()
+    return n_words, n_runs, found.astype("<u2").tobytes(), total[found].astype("<u4").tobytes()
 
 
 def feature_counts(docs: DataFrame) -> DataFrame:
