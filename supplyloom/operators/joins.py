@@ -73,15 +73,22 @@ def pivot_children(
 
 
 def fan_out(
-    left: DataFrame, right: DataFrame, key: str, right_id: str, rows_per_task: int = HOT_KEY_ROWS, keep_salt: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    right_id: str,
+    rows_per_task: int = HOT_KEY_ROWS,
+    keep_salt: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One-to-many left join that stays whole and spread when one key owns a large share of ``right``.
 
     Keys with more than ``rows_per_task`` rows get as many salts as needed on both sides. There are at most
-    ``count(right) / rows_per_task`` such keys; Spark broadcasts them only below its threshold.
+    ``count(right) / rows_per_task`` such keys; Spark broadcasts them only below its threshold. Where ``right`` comes
+    out of lookups, ``counted`` is the table before them, so that counting its keys does not compute them all again.
     """
     hot = (
-        right.filter(F.col(key).isNotNull())
+        (right if counted is None else counted).filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)

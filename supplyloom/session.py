@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,16 @@ def stable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and cut its lineage there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: computed once, lineage cut, columns still pruned.
+
+    The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
