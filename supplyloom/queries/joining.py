@@ -7,11 +7,16 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from supplyloom.functions.dates import period_of
-from supplyloom.operators import joins
+from supplyloom.operators import intervals, joins
 from supplyloom.operators.hierarchy import top_level
 from supplyloom.operators.joins import Lookup
-from supplyloom.queries.registry import query
+from supplyloom.operators.membership import reduce_children
+from supplyloom.operators.scope import current_fy_scope
+from supplyloom.queries.projections import AS_OF as SCOPE_DAY
+from supplyloom.queries.projections import SCOPE_SQL
+from supplyloom.queries.registry import SQL, query
 from supplyloom.queries.roles import with_roles
+from supplyloom.session import staged
 
 
 @query(
@@ -84,6 +89,27 @@ def join_with_condition(t):
     return joins.denormalize(t["request"].select("id", "customer_id"), [look]).select("id", "global_id")
 
 
+@query(
+    "j1_children_of_scope",
+    with_roles(
+        "request request_module escalation contact",
+        f"""SELECT r.id, coalesce(m.n, 0) AS n_modules, coalesce(e.n, 0) AS n_escalations, coalesce(c.n, 0) AS n_contacts
+        FROM r_request r LEFT JOIN (SELECT request_id, count(*) AS n FROM r_request_module GROUP BY 1) m ON m.request_id = r.id
+        LEFT JOIN (SELECT request_id, count(*) AS n FROM r_escalation GROUP BY 1) e ON e.request_id = r.id
+        LEFT JOIN (SELECT request_id, count(*) AS n FROM r_contact GROUP BY 1) c ON c.request_id = r.id WHERE {SCOPE_SQL}""",
+    ),
+)
+def children_of_scope(t):
+    """One filter of the scoped requests reduces three child tables; the joins drop what passes it by chance."""
+    requests = staged(current_fy_scope(t["request"], SCOPE_DAY).select("id"))
+    children = {"request_module": "n_modules", "escalation": "n_escalations", "contact": "n_contacts"}
+    reduced = reduce_children(t.pick(*children), tuple(children), requests.select(F.col("id").alias("request_id")), "request_id")
+    for child, name in children.items():
+        counts = reduced[child].groupBy(F.col("request_id").alias("id")).agg(F.count(F.lit(1)).alias(name))
+        requests = requests.join(counts, "id", "left")
+    return requests.fillna(0, list(children.values()))
+
+
 @query(
     "j4_fan_out_escalations",
     with_roles(
@@ -146,6 +172,17 @@ def hide_invisible(t):
     return joins.hide_invisible(rows, t["customer_visibility"]).select("o_orderkey", "period")
 
 
+@query("j7_hide_by_period", SQL["j7_hide_invisible"])
+def hide_by_period(t):
+    """The same rows by an equi join on key and period."""
+    rows = t["orders"].join(t["customer"], F.col("c_custkey") == F.col("o_custkey")).select(
+        "o_orderkey", F.col("c_nationkey").alias("team_id"), F.lit(0).alias("service_name_id"),
+        F.col("c_custkey").alias("customer_unit_id"), period_of(F.col("o_orderdate")).alias("period"),
+    )
+    periods = [f"{m}00" for m in intervals.months_of(t["orders"], "o_orderdate")]
+    return intervals.hide_by_period(rows, t["customer_visibility"], periods).select("o_orderkey", "period")
+
+
 @query(
     "j8_unmatched_combinations",
     with_roles(
@@ -207,18 +244,30 @@ PRICE_SQL = """, facts AS (SELECT o_orderkey, 'Center NATION_' || CAST(c_nationk
         SELECT o_orderkey, CAST(price AS DOUBLE) AS price FROM hits WHERE rn = 1"""
 
 
-@query("j11_price_at_date", with_roles("price", PRICE_SQL))
-def price_at_date(t):
+def price_facts(t):
     kinds = F.element_at(F.array(*[F.lit(k) for k in ("new", "Check", "Renewal", "Hardcopy")]), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    facts = t["orders"].join(t["customer"], F.col("c_custkey") == F.col("o_custkey")).select(
+    return t["orders"].join(t["customer"], F.col("c_custkey") == F.col("o_custkey")).select(
         "o_orderkey",
         F.concat(F.lit("Center NATION_"), (F.col("c_nationkey") % 7).cast("string")).alias("delivery_center"),
         F.col("c_custkey").alias("customer_id"),
         kinds.alias("request_type"),
         F.when(F.col("o_orderstatus") != "O", F.date_add(F.col("o_orderdate").cast("date"), 40)).alias("finished"),
     )
-    keys = ["delivery_center", "customer_id", "request_type"]
-    return joins.price_at(facts, t["price"], keys, "finished", date(1998, 3, 10)).select("o_orderkey", "price")
+
+
+PRICE_KEYS = ["delivery_center", "customer_id", "request_type"]
+
+
+@query("j11_price_at_date", with_roles("price", PRICE_SQL))
+def price_at_date(t):
+    return joins.price_at(price_facts(t), t["price"], PRICE_KEYS, "finished", date(1998, 3, 10)).select("o_orderkey", "price")
+
+
+@query("j11_price_by_calendar", with_roles("price", PRICE_SQL))
+def price_by_calendar(t):
+    """The same prices, with the windows cut into months and days."""
+    priced = intervals.price_by_calendar(price_facts(t), t["price"], PRICE_KEYS, "finished", date(1998, 3, 10))
+    return priced.select("o_orderkey", "price")
 
 
 HIERARCHY_CTE = """WITH RECURSIVE tree(id, root_id) AS (
