@@ -17,6 +17,8 @@ DEFAULTS = {
     # the dashboard is wider than the 100 columns up to which Spark compiles a stage as a whole by default
     "spark.sql.codegen.maxFields": "1000",
     "spark.sql.session.timeZone": "UTC",
+    # the source line of every column in error messages costs several calls into the JVM per column while a plan is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
