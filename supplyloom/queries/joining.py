@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.functions.dates import period_of
 from supplyloom.operators import intervals, joins
-from supplyloom.operators.hierarchy import top_level
+from supplyloom.operators.hierarchy import interval_labels, join_below, top_level
 from supplyloom.operators.joins import Lookup
 from supplyloom.operators.membership import reduce_children
 from supplyloom.operators.scope import current_fy_scope
@@ -276,6 +276,28 @@ HIERARCHY_CTE = """WITH RECURSIVE tree(id, root_id) AS (
         WHERE c.c_custkey >= 25)"""
 
 
+@query(
+    "h1_interval_labels",
+    f"""{HIERARCHY_CTE}, pairs AS (SELECT id AS node, id AS above FROM tree UNION ALL SELECT p.node, c.c_custkey // 2 FROM pairs p
+        JOIN customer c ON c.c_custkey = p.above WHERE p.above >= 25), sizes AS (SELECT above, count(*) AS n FROM pairs GROUP BY above)
+        SELECT tree.id, root_id, CAST((SELECT count(*) - 1 FROM pairs WHERE node = tree.id) AS INTEGER) AS depth, n AS size FROM tree
+        JOIN sizes ON above = tree.id""",
+)
+def hierarchy_labels(t):
+    return interval_labels(t["sq_customer"]).drop("start")
+
+
+@query(
+    "h1_all_descendants",
+    f"""{HIERARCHY_CTE}, pairs AS (SELECT id AS node, id AS above FROM tree UNION ALL SELECT p.node, c.c_custkey // 2 FROM pairs p
+        JOIN customer c ON c.c_custkey = p.above WHERE p.above >= 25) SELECT above AS customer_id, node AS node_id FROM pairs""",
+)
+def all_descendants(t):
+    """Every customer with all customers below it, by ranges of pre-order numbers."""
+    labels = interval_labels(t["sq_customer"])
+    return join_below(labels.select(F.col("id").alias("customer_id")), labels, "customer_id")
+
+
 @query("h1_top_level_customer", f"{HIERARCHY_CTE} SELECT id, root_id FROM tree")
 def top_level_customer(t):
     return top_level(t["sq_customer"])
@@ -292,6 +314,15 @@ def join_top_level(t):
     return joins.join_top_level(owner, top_level(t["sq_customer"]), "customer_id")
 
 
+@query("j12_join_below_roots", SQL["j12_join_top_level"])
+def join_below_roots(t):
+    """The same pairs by ranges: no root is a join key for all that stands below it."""
+    labels = interval_labels(t["sq_customer"])
+    roots = labels.filter("depth = 0").select(F.col("id").alias("customer_id"))
+    owner = t["team_customer"].select("team_id", "customer_id").join(roots, "customer_id", "left_semi")
+    return join_below(owner.select("team_id", "customer_id"), labels, "customer_id")
+
+
 @query(
     "j13_join_distinct",
     with_roles(

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from uuid import uuid4
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.operators import sampling
@@ -16,6 +19,8 @@ from supplyloom.queries.aggregating import INACTIVE_SQL, LOG_AS_OF, NEW_ITEMS_SQ
 from supplyloom.queries.registry import query
 from supplyloom.queries.reports import due_sql
 from supplyloom.queries.roles import with_roles
+from supplyloom.session import shared_folder
+from supplyloom.sources import versions
 
 # the columns that identify a record row
 ROW_KEY = ["po_number", "number_of_line_item", "ifa_number", "po_created_by", "cents"]
@@ -245,6 +250,72 @@ def anonymize_job(t):
     )
 
 
+REPORT_MAIL = {"title": "Anonymization of {DATE}", "body": "{USERS} users and {MAILS} mails in {TIME}"}
+ELAPSED = 1.25
+
+
+def _long_sql(kind: str, table: str, item: str, values: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{kind}' AS kind, {item}, '{name}' AS field, {sql} AS value FROM {table}" for name, sql in values.items())
+
+
+WHOLE_JOB_SQL = ", counts AS (SELECT (SELECT count(*) FROM r_user WHERE id IN {0}) AS users, (SELECT count(*) FROM r_mail WHERE created_by IN {0}) AS mails) ".format(INACTIVE_SQL) + " UNION ALL ".join(
+    [
+        _long_sql(
+            "user", "r_user", "id AS item, CAST(0 AS BIGINT) AS turn",
+            {f: f"CASE WHEN id IN {INACTIVE_SQL} THEN 'DELETED_' || id ELSE {f} END" for f in gdpr.USER_FIELDS}
+            | {"is_anonymized": f"CAST(CASE WHEN id IN {INACTIVE_SQL} THEN 1 ELSE is_anonymized END AS VARCHAR)"},
+        ),
+        _long_sql(
+            "mail", "r_mail", "created_by, CAST(turn AS BIGINT)",
+            {
+                name: f"CASE WHEN created_by IN {INACTIVE_SQL} THEN '' ELSE {value} END"
+                for name, value in zip(gdpr.MAIL_FIELDS, ("sender", "recipient", "subject", "'cc'", "'bcc'", "message"), strict=True)
+            },
+        ),
+        _long_sql(
+            "report", "counts", "NULL, NULL",
+            {"title": "'Anonymization of 2025-01-30'", "body": "users || ' users and ' || mails || ' mails in 1.25s.'"},
+        ),
+        _long_sql(
+            "log", "counts", "NULL, NULL",
+            {
+                "category": "'gdpr'",
+                "message": "'Anonymization: ' || chr(10) || 'Anonymized Users: ' || users || chr(10) || 'Anonymized Emails: ' || mails"
+                " || '<strong>Time:</strong> 1.25s.'",
+            },
+        ),
+        "SELECT 'audit of ' || kind, NULL, NULL, 'run', 'run 1: ' || users || ', ' || mails FROM counts, (VALUES ('users'), ('mails')) k(kind)",
+    ]
+)
+
+
+@query("p11_whole_anonymization", with_roles("user mail", WHOLE_JOB_SQL))
+def whole_anonymization(t):
+    """Every field of users and mails after the job over stored tables, run twice, with report mail, log row and audit rows."""
+    users, mails_at = (f"{shared_folder(t.spark)}/{name}-{uuid4().hex}" for name in ("users", "mails"))
+    versions.replace(t["user"], users)
+    versions.replace(mails(t), mails_at)
+    for _ in range(2):
+        run = gdpr.anonymize_stored(t.spark, users, mails_at, t["log"], LOG_AS_OF, "run 1")
+    counts = t.spark.createDataFrame([(run.needs, run.users, run.mails)], "needs long, users long, mails long")
+
+    def long(df, kind, item, turn, fields):
+        texts = df.select(item.cast("long").alias("item"), turn.cast("long").alias("turn"), *[F.col(f).cast("string").alias(f) for f in fields])
+        return texts.unpivot(["item", "turn"], list(fields), "field", "value").select(F.lit(kind).alias("kind"), "item", "turn", "field", "value")
+
+    nothing = F.lit(None)
+    parts = [
+        long(versions.read(t.spark, users), "user", F.col("id"), F.lit(0), (*gdpr.USER_FIELDS, "is_anonymized")),
+        long(versions.read(t.spark, mails_at), "mail", F.col("created_by"), F.col("turn"), gdpr.MAIL_FIELDS),
+        long(gdpr.report_mail(counts, REPORT_MAIL, LOG_AS_OF, ELAPSED), "report", nothing, nothing, ("title", "body")),
+        long(gdpr.log_entry(counts, LOG_AS_OF, ELAPSED), "log", nothing, nothing, ("category", "message")),
+    ]
+    for kind, path in (("users", users), ("mails", mails_at)):
+        told = gdpr.audit_rows(t.spark, path).select(F.concat("run", F.lit(": "), "users", F.lit(", "), "mails").alias("run"))
+        parts.append(long(told, f"audit of {kind}", nothing, nothing, ("run",)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "a11_active_and_inactive",
     f"""SELECT CASE WHEN user_id IN {INACTIVE_SQL} THEN 'inactive' ELSE 'active' END AS state, count(*) AS n_events FROM events

@@ -239,6 +239,13 @@ ROLES = {
         SELECT c_custkey AS id, c_nationkey AS team_id, 0 AS service_name_id, c_custkey AS customer_unit_id,
                CASE WHEN c_custkey % 3 <> 0 THEN '19970100' END AS valid_from,
                CASE WHEN c_custkey % 2 = 0 THEN '19980200' END AS valid_to FROM {customer}""",
+    # the level of each customer unit with an order in the period
+    "consolidation": f"""
+        SELECT customer_unit_id, n_nationkey AS team_id, 0 AS service_name_id, period,
+               CASE WHEN (customer_unit_id + n_nationkey) % 3 = 0 THEN 'consolidated'
+                    WHEN (customer_unit_id + n_nationkey) % 3 = 1 THEN 'Inputed' ELSE 'inputed' END AS consolidation
+        FROM (SELECT DISTINCT o_custkey AS customer_unit_id, {_PERIOD} AS period FROM {{orders}}) AS ordered
+        JOIN {{nation}} ON n_nationkey >= 0""",
     # prices per team, KPI, customer unit and fiscal year of the orders
     "kpi_threshold": """
         SELECT (CAST(c_nationkey AS BIGINT) * 1000000000 + root) * 20 + CAST(c_custkey % 11 AS INT) AS kpi_id, c_custkey AS customer_id,

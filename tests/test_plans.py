@@ -2,6 +2,7 @@ import random
 from datetime import date, datetime
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from supplyloom.plans import anonymize as gdpr
@@ -10,6 +11,7 @@ from supplyloom.plans import kpi_report as kpi
 from supplyloom.plans.productivity import module_points
 from supplyloom.plans.purchase_orders import new_items_by_team, order_record_view
 from supplyloom.queries.aggregating import POINTS_CTES
+from supplyloom.sources import versions
 
 
 def test_points_with_copies_of_modules_and_qualifications(spark):
@@ -201,3 +203,31 @@ def test_dashboard_keeps_rows_multiplied_by_lookups(spark):
         once = max(r.escalations, 1)
         assert r.n == once * (2 if r.kind == "global" else 1) and r.distinct_rows == once
     assert {"Record ID", "CoC Available / Migrated", "Company Contact Email"} <= set(with_headers(rows.limit(0)).columns)
+
+
+def test_stored_anonymisation_that_fails_halfway_is_repeated(spark, tmp_path, monkeypatch):
+    fields = {f: F.lit("v") for f in gdpr.USER_FIELDS}
+    users = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "id int, is_anonymized int").withColumns(fields)
+    mails = spark.createDataFrame([(1,), (3,), (None,)], "created_by int").withColumns({f: F.lit("v") for f in gdpr.MAIL_FIELDS})
+    log = spark.createDataFrame([(1, datetime(2020, 1, 1)), (2, datetime(2020, 1, 1)), (3, datetime(2024, 5, 1))], "created_by int, created_at timestamp_ntz")
+    at = [str(tmp_path / name) for name in ("users", "mails")]
+    versions.replace(users, at[0])
+    versions.replace(mails, at[1])
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(gdpr, "blank_mails", lost)
+        with pytest.raises(OSError):
+            gdpr.anonymize_stored(spark, *at, log, datetime(2024, 6, 1), "run 1")
+    assert versions.read(spark, at[1]).filter("message = ''").count() == 0
+    run = gdpr.anonymize_stored(spark, *at, log, datetime(2024, 6, 1), "run 1")
+    assert run == gdpr.StoredRun(1, 2, 1)
+    assert {r.id: r.email for r in versions.read(spark, at[0]).collect()} == {1: "DELETED_1", 2: "DELETED_2", 3: "v"}
+    assert versions.read(spark, at[1]).filter("message = ''").count() == 1
+    assert [gdpr.audit_rows(spark, path).collect() for path in at] == [[("run 1", "2024-06-01 00:00:00", 1, 2, 1)]] * 2
+    # the next run finds nobody left and publishes nothing
+    numbers = [versions.current(spark, path).number for path in at]
+    assert gdpr.anonymize_stored(spark, *at, log, datetime(2024, 6, 2), "run 2") == gdpr.StoredRun(0, 0, 0)
+    assert [versions.current(spark, path).number for path in at] == numbers
