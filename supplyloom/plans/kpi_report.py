@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyloom.functions.dates import in_periods, period_of, valid_at
@@ -14,6 +14,7 @@ from supplyloom.functions.text import same_text, text_key
 from supplyloom.operators.joins import cross_periods, hiding_windows, is_hidden, join_top_level, unmatched
 from supplyloom.operators.updates import fill_measures
 from supplyloom.operators.windows import first_per_key, global_row_number
+from supplyloom.sources import versions
 
 # fixed values
 PRODUCT = "Supplier Qualification"
@@ -137,6 +138,15 @@ def finished_counts(data: DataFrame, teams: DataFrame, periods: Sequence[str], p
     return measure_counts(finished, teams, "finished_date", periods, kpi, per_period)
 
 
+def all_counts(data: DataFrame, teams: DataFrame, periods: Sequence[str], per_period: bool = False) -> DataFrame:
+    """Received and finished records under the product they are reported as; their KPIs have different names."""
+    return (
+        received_counts(data, teams, periods, per_period)
+        .withColumn("product", F.lit(INVALID_PRODUCT_RECEIVED))
+        .unionByName(finished_counts(data, teams, periods, per_period).withColumn("product", F.lit(PRODUCT)))
+    )
+
+
 def kpi_report(
     template: DataFrame, data: DataFrame, teams: DataFrame, periods: Sequence[str], per_period: bool = False
 ) -> DataFrame:
@@ -146,14 +156,13 @@ def kpi_report(
     did; ``per_period=True`` splits the counts. Where several centers report one team and customer, the
     first center by name fills the template.
     """
+    return report_from_counts(template, all_counts(data, teams, periods, per_period), per_period)
+
+
+def report_from_counts(template: DataFrame, counts: DataFrame, per_period: bool = False) -> DataFrame:
+    """The report from counted records, one pass over the template for all KPIs."""
     keys = MEASURE_KEYS + (["period"] if per_period else [])
     columns = ["period", "team", "product", "kpi", "customer_name", "value"]
-    # received and finished KPIs have different names, so one pass over the template serves both
-    counts = (
-        received_counts(data, teams, periods, per_period)
-        .withColumn("product", F.lit(INVALID_PRODUCT_RECEIVED))
-        .unionByName(finished_counts(data, teams, periods, per_period).withColumn("product", F.lit(PRODUCT)))
-    )
     one = first_per_key(
         counts.withColumns({f"_{k}": text_key(F.col(k)) for k in keys}), [f"_{k}" for k in keys], [F.col("center_key")]
     )
@@ -164,5 +173,25 @@ def kpi_report(
     return filled.unionByName(invalid)
 
 
+def store_counts(data: DataFrame, teams: DataFrame, path: str, run_id: str, periods: Sequence[str]) -> versions.Version:
+    """Count the records of ``periods`` and store them as one run; counting them again replaces that run only.
+
+    A period belongs to one run. The counts are split by period, so runs add up to any selection of periods.
+    """
+    return versions.append_run(all_counts(data, teams, periods, per_period=True), path, run_id)
+
+
+def stored_counts(spark: SparkSession, path: str, periods: Sequence[str], per_period: bool = False) -> DataFrame:
+    """The counts of ``periods`` from all runs, added up unless ``per_period``; no record is read."""
+    found = versions.read(spark, path).filter(F.col("period").isin(*periods))
+    if per_period:
+        return found
+    names = {f"_{c}": text_key(F.col(c)) for c in ("team", "customer_name")}
+    added = found.withColumns(names).groupBy("center_key", "product", "kpi", *names).agg(
+        F.min("team").alias("team"), F.min("customer_name").alias("customer_name"), F.sum("n_records").alias("n_records")
+    )
+    return added.drop(*names)
+
+
 def sorted_report(report: DataFrame) -> DataFrame:
     return report.orderBy(F.desc("period"), "product", "team", "kpi", "customer_name")
