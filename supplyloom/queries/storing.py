@@ -145,6 +145,21 @@ def todays_attachments(t):
     return found.withColumn("sent", F.date_format("sent", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query(
+    "io3_attachment_contents",
+    """SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS sent, 'first of ' || event_type AS attachment,
+        CAST(n AS VARCHAR) || chr(10) AS content FROM events JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
+        USING (event_type) WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16' AND event_type <> 'view'""",
+)
+def attachment_contents(t):
+    """Mails of the day with what their attachments hold. A file per kind of event has landed under the name of the attachment."""
+    path = staged(t, "attachments")
+    landed = t["events"].groupBy(F.concat(F.lit("first of "), F.col("event_type")).alias("name")).agg(F.count(F.lit(1)).cast("string").alias("text"))
+    landed.write.partitionBy("name").text(path)
+    found = mailbox.with_content(todays_attachments(t), mailbox.attachment_files(t.spark, path), F.col("name"))
+    return found.select("user_id", "sent", "attachment", F.decode("content", "UTF-8").alias("content"))
+
+
 REPORT_SCHEMA = "record_id bigint, customer_name string, received string"
 # texts with quotes, separators and line breaks must come back whole
 REPORT_SQL = "SELECT record_id, customer_name || chr(10) || '\"known\", as x' AS customer_name, input_received::VARCHAR AS received FROM r_dash"

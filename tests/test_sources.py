@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -33,6 +34,17 @@ def test_attachment_files(spark, tmp_path):
     assert [bytes(r.content) for r in mailbox.attachment_files(spark, str(tmp_path)).collect()] == [b"abc"]
 
 
+def test_content_of_attachments(spark, tmp_path):
+    for folder, name, text in (("a", "one+1 ü.bin", b"old"), ("b", "one+1 ü.bin", b"abc"), ("b", "two.bin", b"")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_bytes(text)
+    os.utime(tmp_path / "a" / "one+1 ü.bin", (1, 1))
+    found = spark.createDataFrame([("one+1 ü.bin",), ("one+1 ü.bin",), ("two.bin",), ("three.bin",), (None,)], "attachment string")
+    rows = mailbox.with_content(found, mailbox.attachment_files(spark, f"{tmp_path}/*")).collect()
+    got = sorted((str(r.attachment), None if r.content is None else bytes(r.content), r.length) for r in rows)
+    assert got == [("None", None, None), ("one+1 ü.bin", b"abc", 3), ("one+1 ü.bin", b"abc", 3), ("three.bin", None, None), ("two.bin", None, None)]
+
+
 def test_empty_report_keeps_its_header(spark, tmp_path):
     df = spark.createDataFrame([], "a int, b string")
     path = reports.write_report(df, str(tmp_path / "empty"))
