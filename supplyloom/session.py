@@ -17,6 +17,10 @@ DEFAULTS = {
     # the dashboard is wider than the 100 columns up to which Spark compiles a stage as a whole by default
     "spark.sql.codegen.maxFields": "1000",
     "spark.sql.session.timeZone": "UTC",
+}
+
+# Settings that can only be chosen when a session starts; a cluster's own session keeps what it was started with.
+START_DEFAULTS = {
     # the source line of every column in error messages costs several calls into the JVM per column while a plan is built
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -28,7 +32,7 @@ def build_session(master: str = "local[8]", app: str = "supplyloom", **extra: st
     fixed = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     for name, value in fixed.items():
         builder = builder.config(name, value)
-    for name, value in {**DEFAULTS, **extra}.items():
+    for name, value in {**DEFAULTS, **START_DEFAULTS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

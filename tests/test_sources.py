@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from supplyloom import session
 from supplyloom.session import shared_folder
 from supplyloom.sources import companies, mailbox, reports, runlog, tables
 
@@ -77,6 +78,13 @@ def test_checkpoints_use_one_folder(spark):
     assert shared_folder(spark) == shared_folder(spark)
 
 
+def test_defaults_fit_a_session_made_elsewhere(spark):
+    assert all(spark.conf.isModifiable(name) for name in session.DEFAULTS)
+    assert not any(spark.conf.isModifiable(name) for name in session.START_DEFAULTS)
+    other = spark.newSession()
+    assert session.apply_defaults(other) is other
+
+
 def test_append_rows_by_name(spark):
     both = tables.append_rows(spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(2,)], "k int"))
     assert sorted((r.k, r.v) for r in both.collect()) == [(1, "a"), (2, None)] and both.filter(F.col("v").isNull()).count() == 1
