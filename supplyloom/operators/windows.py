@@ -75,3 +75,24 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "id")
         .withColumn(name, F.col("_offset") + F.col("_pos") + 1)
         .drop("_part", "_pos", "_offset")
     )
+
+
+def number_in_cells(df: DataFrame, order: Sequence[Column], cell: Sequence[tuple[Column, bool]], name: str = "id") -> DataFrame:
+    """Number all rows 1, 2, 3, ... in ``order`` without sorting or storing the table as a whole.
+
+    ``cell`` lists columns that lead the order, coarse ones such as a period or a range of ids, each with whether it
+    descends (NULL counts as lowest). The rows of each cell are counted, the cells before a cell tell where its numbers begin,
+    and every cell is sorted and numbered on its own. Choose cells that are many, but few enough for one task to add up
+    their counts. The plan below is computed twice, once for the counts: cheaper than a copy of a wide table.
+    """
+    names = [f"_cell{i}" for i in range(len(cell))]
+    placed = df.withColumns({n: c for n, (c, _) in zip(names, cell, strict=True)})
+    in_turn = [F.desc_nulls_last(n) if down else F.asc_nulls_first(n) for n, (_, down) in zip(names, cell, strict=True)]
+    before = Window.orderBy(*in_turn).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [F.col(n).alias(f"_of{n}") for n in names]
+    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    same = [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names]
+    numbered = placed.withColumn("_within", within).join(offsets, same)
+    return numbered.withColumn(name, F.col("_offset") + F.col("_within")).drop("_offset", "_within", *names, *[f"_of{n}" for n in names])

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyloom.functions.dates import in_periods, period_of, valid_at
@@ -13,7 +13,7 @@ from supplyloom.functions.labels import KPI_RECEIVED, KPI_TEAMS, REQUEST_TYPE_KP
 from supplyloom.functions.text import same_text, text_key
 from supplyloom.operators.joins import cross_periods, hiding_windows, is_hidden, join_top_level, unmatched
 from supplyloom.operators.updates import fill_measures
-from supplyloom.operators.windows import first_per_key, global_row_number
+from supplyloom.operators.windows import first_per_key, global_row_number, number_in_cells
 from supplyloom.sources import versions
 
 # fixed values
@@ -24,6 +24,8 @@ INVALID_PRODUCT_RECEIVED = " Supplier Qualification"
 INPUT_LEVEL = "inputed"
 FINISHED_STATUSES = ("Finished", "Finished not qualified")
 
+CUSTOMERS_PER_RANGE = 1_000
+
 MEASURE_KEYS = ["team", "customer_name", "kpi"]
 Tables = Mapping[str, DataFrame]
 
@@ -87,10 +89,20 @@ def kpi_template(t: Tables, hierarchy: DataFrame, periods: Sequence[str], consol
     )
 
 
+def _template_order() -> list[Column]:
+    """Newest period, highest customer id, KPI priority and name; ties by team and product."""
+    return [F.desc("period"), F.desc("customer_unit_id"), *[F.col(c) for c in ("kpi_priority", "kpi", "team", "product")]]
+
+
 def template_row_id(template: DataFrame) -> DataFrame:
-    """Number the template: newest period, highest customer id, KPI priority and name; ties by team and product."""
-    order = [F.desc("period"), F.desc("customer_unit_id"), *[F.col(c) for c in ("kpi_priority", "kpi", "team", "product")]]
-    return global_row_number(template, order, "id")
+    """Number the template in its order."""
+    return global_row_number(template, _template_order(), "id")
+
+
+def template_row_id_by_range(template: DataFrame, customers: int = CUSTOMERS_PER_RANGE) -> DataFrame:
+    """The same numbers from the counts per period and range of ``customers`` ids, without a stored or sorted template."""
+    cells = [(F.col("period"), True), (F.floor(F.col("customer_unit_id") / customers), True)]
+    return number_in_cells(template, _template_order(), cells, "id")
 
 
 def team_names(team: DataFrame, dc: DataFrame, names: Sequence[str] = KPI_TEAMS) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from supplyloom.operators import distinct
+from supplyloom.operators import distinct, windows
 from supplyloom.plans import kpi_report as kpi
 
 
@@ -55,3 +55,16 @@ def test_report_from_stored_counts_equals_the_whole_report(spark, tmp_path):
             stored = kpi.report_from_counts(chosen, kpi.stored_counts(spark, path, wanted, per_period), per_period)
             rows = [sorted(map(str, df.select("period", F.upper("team"), "product", "kpi", F.upper("customer_name"), "value").collect())) for df in (whole, stored)]
             assert rows[0] == rows[1] and any("None" not in r and "value=0.0" not in r for r in rows[0])
+
+
+def test_numbers_in_cells_equal_a_global_order(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(-5, 40)]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "p string, c int, _n int")
+    order = [F.desc_nulls_last("p"), F.asc_nulls_first("c"), F.col("_n")]
+    got = windows.number_in_cells(df, order, [(F.col("p"), True), (F.floor(F.col("c") / 7), False)], "no")
+    assert got.columns == ["p", "c", "_n", "no"]
+    wanted = sorted(rows, key=lambda r: (r[0] is None, -ord(r[0] or "a"), r[1] is not None, r[1] or 0, r[2]))
+    assert [(r.p, r.c, r["_n"]) for r in sorted(got.collect(), key=lambda r: r.no)] == wanted
+    assert sorted(r.no for r in got.collect()) == list(range(1, 401))
+    assert windows.number_in_cells(df.filter("false"), order, [(F.col("p"), True)]).count() == 0
