@@ -137,14 +137,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_sentencepiece_dropout")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: number of pieces under merge-dropout, digest of their ids, and whether they decode to the text."""
-    text = F.coalesce("text", F.lit(""))
-    docs = table(spark, folder, "documents").select("doc_id", text.alias("text"))
-    pieces = docs.withColumn("pieces", sentencepiece_dropout.encode(F.col("text"), F.col("doc_id")))
-    return pieces.select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = docs.select("doc_id", sentencepiece_dropout.encode_checked(F.col("text"), F.col("doc_id")).alias("coded"))
+    return coded.select(
         "doc_id",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        F.xxhash64("pieces").alias("pieces_hash"),
-        (sentencepiece_dropout.decode(F.col("pieces")) == F.col("text")).alias("lossless"),
+        F.size("coded.pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("coded.pieces").alias("pieces_hash"),
+        F.col("coded.lossless").alias("lossless"),
     )
 
 

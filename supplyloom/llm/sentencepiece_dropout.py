@@ -5,9 +5,8 @@ letters, or the other characters, that follow) that no piece of the vocabulary c
 vocabulary when it is loaded. Within a chunk an agenda holds the candidate merges by score and
 position. When a candidate comes up, a hash keyed by seed, document id, place of the chunk, position and merged piece decides
 whether it is skipped; a pair that changes its neighbours may come up again. So every occurrence of a word is cut on its
-own, and every run gives the same cut. What the agenda does depends on the skipped candidates alone, so a cache holds, for a chunk
-and the candidates skipped so far, those that come up next and the cut if none of them is skipped; the hashes themselves are
-computed for every occurrence.
+own, and every run gives the same cut. The agendas of the chunks of many texts advance side by side over arrays; nothing is kept
+from one text to the next.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from __future__ import annotations
 import heapq
 import re
 import sys
-from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +29,8 @@ LETTER = r"[^\W\d_¹²³]"
 CHUNK = re.compile(rf"\n|{MARK}*{LETTER}+|{MARK}*(?:[^\w\n{MARK}]|[\d_¹²³])+|{MARK}+")
 CROSSING = re.compile(rf"[^{MARK}]{MARK}|\n.|.\n|{LETTER}(?!{LETTER}).|(?!{LETTER})[^{MARK}]{LETTER}", re.DOTALL)
 DROPOUT = 0.1
-CACHE = 250_000  # steps in either generation of the cache
+WIDTHS = (6, 9, 13, 19, 33)  # chunks shorter than one of these, but not than the one before, advance together
+NO_RANK = 1 << 30
 FULL = (1 << 64) - 1
 SPREAD, MIX, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 PLACE_BITS = 32
@@ -60,11 +60,37 @@ class Vocabulary:
             self.raw[i] = bytes([value])
         for piece, i in self.ids.items():
             self.raw[i] = piece.replace(MARK, " ").encode()
+        # the rank of every character that is a piece, -1 for all others
+        self.symbols = np.full(sys.maxunicode + 1, -1, dtype=np.int32)
+        for piece, rank in self.ranks.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = rank
+        self.rank_ids = np.array([self.ids[p] for p in self.by_rank], dtype=np.int32)
+        # the rank of the piece that two pieces make, by the ranks of both
+        made = {
+            self.ranks[piece[:k]] * len(self.by_rank) + self.ranks[piece[k:]]: rank
+            for rank, piece in enumerate(self.by_rank)
+            for k in range(1, len(piece))
+            if piece[:k] in self.ranks and piece[k:] in self.ranks
+        }
+        self.pairs = np.array(sorted(made), dtype=np.int64)
+        self.made = np.array([made[p] for p in self.pairs.tolist()], dtype=np.int32)
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the piece that each pair of symbols makes, NO_RANK where there is none."""
+        wanted = left.astype(np.int64) * len(self.by_rank) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.made[at], NO_RANK)
 
     def fallback(self, symbol: str) -> list[int]:
         return [self.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
 
 
+@lru_cache(maxsize=2)
+def vocabulary_of(model: str) -> Vocabulary:
+    return Vocabulary(model)
+
+
 def mixed(keys: np.ndarray) -> np.ndarray:
     """Keys whose bits depend on all bits of the given ones (64 bits, unsigned)."""
     keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(MIX)
@@ -141,49 +167,58 @@ def document_key(key: int | None) -> int:
     return xxhash.xxh64_intdigest(str(key))
 
 
-class _Step:
-    """A chunk with some candidates skipped: the candidates that come up after the last of them, and the ids if none of these is
-    skipped too (both packed). ``next`` leads on by the candidate that is."""
-
-    __slots__ = ("skipped", "known", "codes", "packed", "next")
-
-    def __init__(self, chunk: str, vocabulary: Vocabulary, skipped: tuple[int, ...], known: int):
-        ids, taken = merge(chunk, vocabulary, skipped.__contains__)
-        self.skipped, self.known, self.packed = skipped, known, array("i", ids).tobytes()
-        self.codes = array("Q", taken[known:]).tobytes()
-        self.next: dict[int, _Step] = {}
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All indices start, start + 1, ... of runs of these sizes, one run after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def merge_all(symbols: np.ndarray, sizes: np.ndarray, own: np.ndarray, limit: int, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of many chunks in a row, and how many each has; their agendas advance side by side.
+
+    ``symbols`` holds the symbols (ranks of pieces) of all chunks in a row, ``sizes`` how many each has, ``own`` its key. In a step
+    every chunk takes the first candidate of its agenda, the one of lowest rank and then leftmost, and merges or skips it.
+    """
+    n, width = len(sizes), int(sizes.max())
+    inside = np.arange(width) < sizes[:, None]
+    sym = np.full((n, width + 1), -1, dtype=np.int32)  # the last column stands behind the last symbol
+    sym[:, :width][inside] = symbols
+    after = np.minimum(np.arange(1, width + 2, dtype=np.int32), sizes[:, None].astype(np.int32))
+    before = np.tile(np.arange(-1, width, dtype=np.int32), (n, 1))
+    rank = np.full((n, width + 1), NO_RANK, dtype=np.int32)
+    pair = inside[:, 1:]
+    rank[:, : width - 1][pair] = vocabulary.pair_ranks(sym[:, : width - 1][pair], sym[:, 1:width][pair])
+    rows = np.arange(n)
+    while len(rows):
+        left = rank[rows].argmin(axis=1)
+        best = rank[rows, left]
+        left_over = best < NO_RANK
+        rows, left, best = rows[left_over], left[left_over], best[left_over]
+        code = best.astype(np.uint64) << np.uint64(PLACE_BITS) | left.astype(np.uint64)
+        skipped = mixed(own[rows] ^ code * np.uint64(SPREAD)) < np.uint64(min(limit, FULL))
+        rank[rows[skipped], left[skipped]] = NO_RANK
+        at, here, merged = rows[~skipped], left[~skipped], best[~skipped]
+        right = after[at, here]
+        behind = after[at, right]
+        sym[at, here], sym[at, right] = merged, -1
+        rank[at, right] = NO_RANK
+        after[at, here] = behind
+        before[at, behind] = here
+        rank[at, here] = np.where(behind < sizes[at], vocabulary.pair_ranks(merged, sym[at, behind]), NO_RANK)
+        front = before[at, here]
+        some = front >= 0
+        rank[at[some], front[some]] = vocabulary.pair_ranks(sym[at[some], front[some]], merged[some])
+    kept = sym >= 0
+    return vocabulary.rank_ids[sym[kept]], kept.sum(axis=1)
 
 
 class Encoder:
-    """Encodes whole texts; one for each worker process, seed and dropout. The cache does not change any result."""
+    """Encodes whole texts. Texts of ``together`` characters are cut at a time, which changes no result."""
 
-    def __init__(self, model: str, seed: int, dropout: float, cache: int = CACHE):
-        self.vocabulary = Vocabulary(model)
-        self.seed, self.dropout, self.cache = seed, dropout, cache
+    def __init__(self, model: str, seed: int, dropout: float, together: int = ROUND):
+        self.vocabulary = vocabulary_of(model)
+        self.seed, self.dropout, self.together = seed, dropout, together
         self.limit = int(dropout * 2**64)
-        self.steps: dict[str, _Step] = {}
-        self.old: dict[str, _Step] = {}
-        self.known = 0
-        self.literal_mark = array("i", self.vocabulary.fallback(MARK)).tobytes()
-
-    def _first(self, chunk: str) -> _Step:
-        step = self.steps.get(chunk)
-        if step is None:
-            if self.known >= self.cache:  # what was not used since the last time is forgotten
-                self.old, self.steps, self.known = self.steps, {}, 0
-            step = self.steps[chunk] = self.old.pop(chunk, None) or _Step(chunk, self.vocabulary, (), 0)
-            self.known += 1 + len(step.next)
-        return step
-
-    def _next(self, chunk: str, step: _Step, at: int) -> _Step:
-        """The step after skipping candidate number ``at`` of a step."""
-        code = int.from_bytes(step.codes[8 * at : 8 * at + 8], sys.byteorder)
-        found = step.next.get(code)
-        if found is None:
-            # what came up before the candidate stays as it is
-            found = step.next[code] = _Step(chunk, self.vocabulary, (*step.skipped, code), step.known + at)
-            self.known += 1
-        return found
+        self.literal_mark = np.array(self.vocabulary.fallback(MARK), dtype=np.int32)
 
     def encode(self, text: str | None, key: int | None) -> bytes:
         """Packed int32 ids; NULL and empty texts have none. A word mark that is in the text itself becomes bytes."""
@@ -194,86 +229,98 @@ class Encoder:
         begin = length = 0
         for i, text in enumerate(texts):
             length += len(text or "")
-            if length >= ROUND or i == len(texts) - 1:
+            if length >= self.together or i == len(texts) - 1:
                 out += self._encoded(texts[begin : i + 1], keys[begin : i + 1])
                 begin, length = i + 1, 0
         return out
 
+    def _alone(self, chunk: str, key: int) -> np.ndarray:
+        ids, _ = merge(chunk, self.vocabulary, lambda code: self.limit and skips(key, code, self.limit))
+        return np.array(ids, dtype=np.int32)
+
     def _encoded(self, texts: list[str | None], keys: list[int | None]) -> list[bytes]:
-        chunks: list[str | None] = []  # None is a word mark of the text itself
+        chunks: list[str] = []
+        literal: list[int] = []  # places of word marks of the text itself
         ends, marks = [], []
         for text, key in zip(texts, keys, strict=True):
             begin = len(chunks)
             for number, part in enumerate(text.split(MARK) if text else ()):  # nearly always one part
                 if number:
-                    chunks.append(None)
+                    literal.append(len(chunks))
+                    chunks.append("")
                 chunks += CHUNK.findall(part.replace(" ", MARK) if number else MARK + part.replace(" ", MARK))
             ends.append(len(chunks))
             marks.append(chunk_keys(document_key(key), np.arange(len(chunks) - begin), self.seed))
-        own = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
-        packed: list[bytes] = [self.literal_mark] * len(chunks)
-        todo, steps = [], []
-        for i, chunk in enumerate(chunks):
-            if chunk is None:
-                continue
-            if len(chunk) > LONGEST:
-                key = int(own[i])
-                packed[i] = array("i", merge(chunk, self.vocabulary, lambda code, key=key: self.limit and skips(key, code, self.limit))[0]).tobytes()
-                continue
-            step = self.steps.get(chunk) or self._first(chunk)
-            packed[i] = step.packed
-            if step.codes:
-                todo.append(i)
-                steps.append(step)
-        while todo and self.limit:
-            codes = np.frombuffer(b"".join([s.codes for s in steps]), dtype=np.uint64)
-            sizes = np.array([len(s.codes) >> 3 for s in steps])
-            owner = np.repeat(np.arange(len(todo)), sizes)
-            hashes = mixed(own[np.array(todo)][owner] ^ codes * np.uint64(SPREAD))
-            hit = np.flatnonzero(hashes < np.uint64(min(self.limit, FULL)))
-            who, first = np.unique(owner[hit], return_index=True)
-            at = hit[first] - (np.cumsum(sizes) - sizes)[who]
-            again, following = [], []
-            for w, a in zip(who.tolist(), at.tolist(), strict=True):
-                i = todo[w]
-                step = self._next(chunks[i], steps[w], a)
-                packed[i] = step.packed
-                if step.codes:
-                    again.append(i)
-                    following.append(step)
-            todo, steps = again, following
-        return [b"".join(packed[a:b]) for a, b in zip([0, *ends], ends)]
+        if not chunks:
+            return [b""] * len(texts)
+        own = np.concatenate(marks)
+        # character by character: the symbols of all chunks in a row
+        code_points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        symbols = self.vocabulary.symbols[code_points]
+        sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        starts = np.cumsum(sizes) - sizes
+        unknown = np.concatenate([[0], np.cumsum(symbols < 0)])
+        together = (sizes > 0) & (sizes <= LONGEST) & (unknown[starts + sizes] == unknown[starts])
+        cuts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # places, how many ids each has, the ids
+        for low, high in zip((1, *WIDTHS), WIDTHS, strict=False):
+            mine = np.flatnonzero(together & (sizes >= low) & (sizes < high))
+            if len(mine):
+                ids, counts = merge_all(symbols[_spread(starts[mine], sizes[mine])], sizes[mine], own[mine], self.limit, self.vocabulary)
+                cuts.append((mine, counts, ids))
+        # long chunks, and those with a character that is no piece
+        for i in np.flatnonzero(~together & (sizes > 0)).tolist():
+            ids = self._alone(chunks[i], int(own[i]))
+            cuts.append((np.array([i]), np.array([len(ids)]), ids))
+        cuts += [(np.array([i]), np.array([len(self.literal_mark)]), self.literal_mark) for i in literal]
+        counts = np.zeros(len(chunks), dtype=np.int64)
+        for mine, n, _ in cuts:
+            counts[mine] = n
+        first = np.concatenate([[0], np.cumsum(counts)])
+        out = np.empty(first[-1], dtype=np.int32)
+        for mine, n, ids in cuts:
+            out[_spread(first[mine], n)] = ids
+        bounds = first[[0, *ends]].tolist()
+        return [out[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         pieces = map(self.vocabulary.raw.__getitem__, ids if isinstance(ids, list) else ids.tolist())
         return b"".join(pieces)[1:].decode("utf-8", "surrogatepass")
 
 
-@lru_cache(maxsize=4)
-def encoder(model: str, seed: int, dropout: float) -> Encoder:
-    return Encoder(model, seed, dropout)
-
-
 def encode(text: Column, key: Column, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT) -> Column:
     """``array<int>`` of piece ids of every whole text. ``key`` (the document id) keys the hashes."""
+    return encode_checked(text, key, model, seed, dropout)["pieces"]
+
+
+def encode_checked(text: Column, key: Column, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT) -> Column:
+    """``struct<pieces: array<int>, lossless: boolean>``: piece ids of every whole text, and whether they decode to it.
+
+    ``key`` (the document id) keys the hashes. NULL and empty texts have no pieces. Only the vocabulary stays with a worker.
+    """
 
-    @F.arrow_udf("array<int>")
-    def pieces(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        packed = encoder(model, seed, dropout).encode_all(texts.to_pylist(), keys.to_pylist())
-        offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
-        return pa.ListArray.from_arrays(pa.array(offsets), values)
+    @F.arrow_udf("struct<pieces: array<int>, lossless: boolean>")
+    def coded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        mine = Encoder(model, seed, dropout)
+        for texts, keys in batches:
+            listed = texts.to_pylist()
+            packed = mine.encode_all(listed, keys.to_pylist())
+            ids = [np.frombuffer(p, dtype=np.int32) for p in packed]
+            lossless = pa.array([mine.decode(i) == (t or "") for i, t in zip(ids, listed, strict=True)], type=pa.bool_())
+            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), type=pa.int32())
+            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), values), lossless], names=["pieces", "lossless"])
 
-    return pieces(text, key)
+    return coded(text, key)
 
 
 def decode(pieces: Column, model: str = MODEL) -> Column:
     """The text of piece ids; no ids give the empty text."""
 
     @F.arrow_udf("string")
-    def texts(batch: pa.Array) -> pa.Array:
-        mine = encoder(model, 0, 0.0)
-        offsets, values = batch.offsets.to_numpy(), batch.values.to_numpy()
-        return pa.array([mine.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], type=pa.string())
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        mine = Encoder(model, 0, 0.0)
+        for batch in batches:
+            offsets, values = batch.offsets.to_numpy(), batch.values.to_numpy()
+            yield pa.array([mine.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], type=pa.string())
 
     return texts(pieces)
