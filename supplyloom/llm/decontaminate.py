@@ -179,7 +179,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text holds no window of any item, with all their columns."""
-    found = find_items(docs, items, size, id_col, text_col).select("doc", "version")
-    same = F.col(id_col).eqNullSafe(F.col("doc")) & (F.xxhash64(F.col(text_col)) == F.col("version"))
+    """The rows of ``docs`` whose text holds no window of any item, with all their columns, whatever they are called."""
+    found = find_items(docs, items, size, id_col, text_col).select(F.col("doc").alias("__hit_doc"), F.col("version").alias("__hit_version"))
+    same = F.col(id_col).eqNullSafe(F.col("__hit_doc")) & (F.xxhash64(F.col(text_col)) == F.col("__hit_version"))
     return docs.join(found, same, "left_anti")

@@ -89,6 +89,12 @@ def links(fps: DataFrame) -> DataFrame:
     )
 
 
+def _roots(fps: DataFrame) -> DataFrame:
+    """``fp, root`` for distinct fingerprints: the smallest fingerprint that is reachable."""
+    roots = components(links(fps))
+    return fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row.
 
@@ -98,10 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = staged(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle).alias("fp")))
     known = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(known.select("fp")))
-    groups = known.join(roots, known.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    groups = known.join(_roots(known.select("fp")), "fp")
     lowest = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = groups.join(lowest, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(
@@ -109,19 +112,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the smallest id of each group of near-duplicates, with all its columns.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns.
 
-    Of several rows with that id the one with the smallest text hash stays. Rows without id stay: nothing tells
-    them apart.
+    It is the one with the smallest id, NULL ids last, then the smallest text hash (128 bits); of fully repeated rows one stays.
+    Rows that share an id but not a group are rows of their own. An empty table gives an empty result.
     """
-    found = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id") == F.col("component_id"))
-    keys = found.select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keys, F.col(id_col) == F.col("__keep"), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return (
-        kept.withColumn("__rank", F.row_number().over(one))
-        .filter(F.col("__rank") == 1)
-        .drop("__rank")
-        .union(docs.filter(F.col(id_col).isNull()))
-    )
+    node = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    rows = staged(docs.select(F.col(id_col).alias("id"), node.alias("text_hash"), fingerprints(F.col(text_col), shingle).alias("fp")))
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best")
+    of_fp = rows.groupBy("fp").agg(best)
+    groups = of_fp.join(_roots(of_fp.select("fp")), "fp")
+    kept = groups.groupBy("root").agg(F.min("best").alias("best"))
+    kept = kept.select(F.col("best.id").alias("__keep_id"), F.col("best.text_hash").alias("__keep_hash"))
+    found = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (node == F.col("__keep_hash")), "left_semi")
+    one = Window.partitionBy(id_col, node).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    return found.withColumn("__keep_rank", F.row_number().over(one)).filter("__keep_rank = 1").drop("__keep_rank")

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from supplyloom.llm import line_dedup, queries, simhash, toxicity
+from supplyloom.llm import decontaminate, line_dedup, queries, simhash, toxicity
 from supplyloom.llm.common import staged, table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,3 +58,22 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "3", "None"]
     assert got.filter("not lossless").count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group_not_of_each_id(spark):
+    a, b, c = ("a b c d e f", "x y z u v w", "n o p q r s")
+    rows = [(i, t, "en", "s", len(t), "x", "y") for i, t in zip([5, 5, 2, 5, None, None, None, None], [a, b, b, a, c, c, c, a], strict=True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, best string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", b), ("5", a), ("None", c)]
+    assert corpus_pipeline.drop_near_duplicates(spark, df.filter("false"), "").count() == 0
+
+
+def test_decontamination_stage_with_clashing_columns(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"before {item} after", "en", "s", 1, 1, 2), (2, "clean text", "en", "s", 1, 1, 2), (None, None, None, None, None, 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, doc long, version long")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(df, items)
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "None"]
