@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supplyloom.llm import decontaminate, line_dedup, near_copies, sentencepiece_dropout, toxicity
+from supplyloom.llm import decontaminate, line_dedup, sentencepiece_dropout, simhash, toxicity
 from supplyloom.llm.common import staged, table
 from supplyloom.session import apply_defaults
 
@@ -29,8 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, Jaccard 0.8 or more)."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) are chained by two or fewer differing bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -40,14 +40,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    pieces = docs.withColumn("pieces", sentencepiece_dropout.encode(F.coalesce("text", F.lit("")), F.col("doc_id")))
-    return pieces.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        (sentencepiece_dropout.decode(F.col("pieces")) == F.coalesce("text", F.lit(""))).alias("lossless"),
-        "pieces",
+    coded = docs.select("doc_id", "lang", "source", sentencepiece_dropout.encode_checked(F.col("text"), F.col("doc_id")).alias("coded"))
+    pieces = F.col("coded.pieces")
+    return coded.select(
+        "doc_id", "lang", "source", F.size(pieces).cast("long").alias("n_pieces"), F.col("coded.lossless").alias("lossless"), pieces.alias("pieces")
     )
 
 
