@@ -1,16 +1,18 @@
 """Personal data by weak supervision: labelers vote on candidate spans, EM weighs them, a classifier decides.
 
 The base patterns always count. Beyond them, a loose pattern for each kind proposes further candidates (numbers
-in groups, addresses with a spelt-out at sign, ...). Regex, gazetteer and context labelers vote for, against or abstain on
-every candidate, base ones included. The votes of all candidates of the corpus are counted in Spark by vote pattern;
-expectation-maximisation on these counts estimates how reliable each labeler is, without labels. The posteriors of the
-patterns train the span classifier, a logistic model on votes and shape, which decides on the added spans.
+in groups, addresses with a spelt-out at sign, long mixed strings that may be secrets, ...). Regex, gazetteer and context
+labelers vote for, against or abstain on every candidate, base ones included and under the same rules; that a span is a base one is no
+vote. The candidates of the corpus are counted in Spark by kind, votes and form; for each kind expectation-maximisation on
+these counts estimates how reliable each labeler is, without labels. The posteriors train the span classifier of the kind, a
+logistic model on the votes and the form of the span (length, groups of digits, separators), which decides on the added spans.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, insort
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 # Base patterns of the contract. Guards in front keep them linear on long runs without changing what they match.
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -26,11 +29,14 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 MAYBE = re.compile(r"[0-9@]| at | AT |\(at\)|\[at\]")
+OPENING, CLOSING = frozenset(" \t\r\n\"'([{<:=,;"), frozenset(" \t\r\n\"')]}>.,;:!?")
 # Loose candidates of the method
 LOOSE_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?:(?: ?\.| ?\(dot\)| dot ) ?[A-Za-z0-9-]{1,63}){1,4}")
 LOOSE_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\[?\.\]? ?[0-9]{1,3}){3}(?![0-9.])")
 LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{2,4}\)?(?:[ .-]\(?[0-9]{2,5}\)?){1,4}(?![0-9A-Za-z])")
-LOOSE = (("email", LOOSE_EMAIL), ("ip", LOOSE_IP), ("phone", LOOSE_PHONE))
+LOOSE_CARD = re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[ ./_-]{1,3}[0-9]{3,6}){2,4}(?![0-9A-Za-z])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+={0,2}")
+LOOSE = (("email", LOOSE_EMAIL), ("ip", LOOSE_IP), ("card", LOOSE_CARD), ("phone", LOOSE_PHONE), ("secret", SECRET))
 # Gazetteer and context words: fixed values.
 DOMAINS = frozenset("com org net edu gov mail example de fr es io info".split())
 CALLING = frozenset("00 01 02 030 040 555 800 900".split())
@@ -39,12 +45,17 @@ CONTEXT = {
     "ip": frozenset("ip host server address adresse login dirección".split()),
     "card": frozenset("card visa credit kreditkarte carte tarjeta payment iban".split()),
     "phone": frozenset("phone call tel telephone telefon mobile fax anruf appelez teléfono llame".split()),
+    "secret": frozenset("token key apikey secret password passwd pwd credential credentials auth bearer private".split()),
 }
-AGAINST = frozenset("version page section isbn chapter figure order invoice id no nr".split())
+AGAINST = frozenset("version page section isbn chapter figure order invoice id no nr commit checksum sha md5 hash uuid".split())
+ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 REACH = 40  # characters of context on either side
-LABELERS = ("base", "shape", "gazetteer", "context", "against")
+LABELERS = ("shape", "gazetteer", "context", "edges", "against")
 ACCEPT = 0.9
+# form of a span: length, groups of digits and separators, each in a few steps
+LENGTHS, GROUPS, SEPARATORS = (8, 12, 16, 24, 40), (1, 2, 4, 5), 3
+FORMS = (len(LENGTHS) + 1, len(GROUPS) + 1, SEPARATORS)
 
 
 def luhn(digits: str) -> bool:
@@ -95,38 +106,63 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     """Base spans, and loose ones that touch none of them nor an earlier loose one."""
     base = base_spans(text)
     out = [(*s, True) for s in base]
+    # spans of loose candidates do not overlap, so their neighbours by start tell all; base spans of two kinds may
     taken = sorted((a, b) for _, a, b in base)
+    reach = max((b - a for a, b in taken), default=0)
     for kind, pattern in LOOSE:
         for m in pattern.finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
+            at = bisect_left(taken, (b, b))
+            free = True
+            while at and taken[at - 1][0] + reach > a:
+                at -= 1
+                if taken[at][1] > a:
+                    free = False
+                    break
+            if free:
                 out.append((kind, a, b, False))
-                taken.append((a, b))
+                insort(taken, (a, b))
+                reach = max(reach, b - a)
     return out
 
 
-def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int, ...]:
+def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """One vote of each labeler: 1 for, -1 against, 0 abstains."""
     span = text[start:end]
     digits = _digits(span)
-    before = [w.lower() for w in WORD.findall(text[max(0, start - REACH) : start])]
+    front = text[max(0, start - REACH) : start]
+    before = [w.lower() for w in WORD.findall(front)]
     after = [w.lower() for w in WORD.findall(text[end : end + REACH])]
     near = set(before[-4:] + after[:2])
+    gazetteer = 0
     if kind == "email":
         shape = 1 if DOMAIN.search(span) or "dot" in span else -1
         gazetteer = 1 if re.split(r"[^A-Za-z0-9]+", span.lower())[-1] in DOMAINS else -1
     elif kind == "ip":
         shape = 1 if all(_small(p) for p in re.findall("[0-9]+", span)) else -1
-        gazetteer = 0
     elif kind == "card":
-        shape, gazetteer = (1 if luhn(digits) else -1), (1 if digits[:1] in "3456" else 0)
-    else:
+        shape, gazetteer = (1 if 13 <= len(digits) <= 19 and luhn(digits) else -1), (1 if digits[:1] in ("3", "4", "5", "6") else -1)
+    elif kind == "phone":
         shape = 1 if 9 <= len(digits) <= 15 else -1
-        groups = re.findall("[0-9]+", span)
-        gazetteer = 1 if CALLING & set(groups) else 0
-    context = 1 if near & CONTEXT[kind] else 0
+        gazetteer = 1 if CALLING & set(re.findall("[0-9]+", span)) else 0
+    else:
+        letters = sum(c.isalpha() for c in span)
+        shape = 1 if len(span) >= 20 and min(letters, len(digits)) * 6 >= len(span) else -1
+        gazetteer = 1 if ASSIGNED.search(front) else -1
+    context = 1 if near & CONTEXT[kind] else -1 if kind == "secret" else 0
+    alone = (not front or front[-1] in OPENING) and (end == len(text) or text[end] in CLOSING)
     against = -1 if set(before[-2:]) & AGAINST else 0
-    return (1 if base else -1, shape, gazetteer, context, against)
+    return shape, gazetteer, context, 1 if alone else -1, against
+
+
+def form(span: str) -> tuple[int, ...]:
+    """Steps of length, groups of digits and separators (none, one kind, several)."""
+    groups = len(re.findall("[0-9]+", span))
+    return (
+        sum(len(span) >= n for n in LENGTHS),
+        sum(groups >= n for n in GROUPS),
+        min(len({c for c in span if not c.isalnum()}), SEPARATORS - 1),
+    )
 
 
 @dataclass
@@ -162,18 +198,20 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> Reli
     return model
 
 
-def shape_features(pattern: tuple[int, ...], kind: str) -> np.ndarray:
-    """Inputs of the span classifier: every vote as two indicators, the kind, a bias."""
-    return np.array([float(v > 0) for v in pattern] + [float(v < 0) for v in pattern] + [float(kind == k) for k in KINDS] + [1.0])
+def features(pattern: tuple[int, ...], steps: tuple[int, ...]) -> np.ndarray:
+    """Inputs of a span classifier: every vote as two indicators, the form in indicators, a bias."""
+    shape = [float(step == n) for step, size in zip(steps, FORMS, strict=True) for n in range(size)]
+    return np.array([float(v > 0) for v in pattern] + [float(v < 0) for v in pattern] + shape + [1.0])
 
 
-def train_classifier(kinds: list[str], patterns: np.ndarray, counts: np.ndarray, truth: np.ndarray) -> np.ndarray:
-    """Logistic regression on the posteriors, weighted by count, by Newton steps."""
-    width = 2 * len(LABELERS) + len(KINDS) + 1
+def train_classifier(patterns: np.ndarray, forms: np.ndarray, counts: np.ndarray, truth: np.ndarray) -> np.ndarray:
+    """Logistic regression of one kind on the posteriors, weighted by count, by Newton steps."""
+    width = 2 * len(LABELERS) + sum(FORMS) + 1
     w = np.zeros(width)
     if not len(patterns):
+        w[-1] = -math.inf
         return w
-    x = np.array([shape_features(p, k) for p, k in zip(patterns, kinds, strict=True)])
+    x = np.array([features(p, f) for p, f in zip(patterns, forms, strict=True)])
     weight = counts / counts.sum() * 1000
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -182,7 +220,7 @@ def train_classifier(kinds: list[str], patterns: np.ndarray, counts: np.ndarray,
     return w
 
 
-SPANS = "array<struct<kind:string,start:int,end:int,base:boolean,votes:array<int>>>"
+SPANS = "array<struct<kind:string,start:int,end:int,base:boolean,votes:array<int>,form:array<int>>>"
 
 
 def candidate_spans(text: Column) -> Column:
@@ -194,36 +232,54 @@ def candidate_spans(text: Column) -> Column:
         for text in batch:
             found = candidates(text) if text and MAYBE.search(text) else []
             found.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
-            out.append([{"kind": k, "start": a, "end": b, "base": c, "votes": list(votes(text, k, a, b, c))} for k, a, b, c in found])
+            out.append(
+                [
+                    {"kind": k, "start": a, "end": b, "base": c, "votes": list(votes(text, k, a, b)), "form": list(form(text[a:b]))}
+                    for k, a, b, c in found
+                ]
+            )
         return pd.Series(out)
 
     return spans(text)
 
 
-def train(spans: DataFrame) -> tuple[Reliability, np.ndarray]:
-    """Reliabilities and span classifier from all candidates (``spans``); at most 4 * 3^5 counts reach the driver."""
-    rows = spans.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes").count().collect()
-    rows.sort(key=lambda r: (r.kind, r.votes))
-    patterns = np.array([r.votes for r in rows], dtype=int).reshape(len(rows), len(LABELERS))
-    counts = np.array([r["count"] for r in rows], dtype=float)
-    reliability = estimate(patterns, counts)
-    return reliability, train_classifier([r.kind for r in rows], patterns, counts, reliability.posterior(patterns))
+def train(spans: DataFrame) -> tuple[dict[str, Reliability], dict[str, np.ndarray]]:
+    """Reliabilities and span classifier of every kind from all candidates (``spans``).
 
-
-def accepted(weights: np.ndarray, span: Column) -> Column:
-    """Base spans, and candidates that the classifier gives ACCEPT or more."""
-    n = len(LABELERS)
-    logit = F.lit(float(weights[-1]))
-    for j in range(n):
-        vote = span["votes"][j]
-        logit += F.when(vote > 0, float(weights[j])).when(vote < 0, float(weights[n + j])).otherwise(0.0)
-    for i, kind in enumerate(KINDS):
-        logit += F.when(span["kind"] == kind, float(weights[2 * n + i])).otherwise(0.0)
-    return span["base"] | (logit >= math.log(ACCEPT / (1 - ACCEPT)))
+    What reaches the driver is counts by kind, votes and form, at most 5 * 3^5 * 90 rows whatever the corpus.
+    """
+    rows = spans.select(F.explode("spans").alias("s")).groupBy("s.kind", "s.votes", "s.form").count().collect()
+    rows.sort(key=lambda r: (r.kind, r.votes, r.form))
+    reliability, weights = {}, {}
+    for kind in KINDS:
+        mine = [r for r in rows if r.kind == kind]
+        patterns = np.array([r.votes for r in mine], dtype=int).reshape(len(mine), len(LABELERS))
+        forms = np.array([r.form for r in mine], dtype=int).reshape(len(mine), len(FORMS))
+        counts = np.array([r["count"] for r in mine], dtype=float)
+        reliability[kind] = estimate(patterns, counts)
+        weights[kind] = train_classifier(patterns, forms, counts, reliability[kind].posterior(patterns))
+    return reliability, weights
+
+
+def accepted(weights: dict[str, np.ndarray], span: Column) -> Column:
+    """Base spans, and candidates that the classifier of their kind gives ACCEPT or more."""
+    n, found = len(LABELERS), span["base"]
+    for kind, w in weights.items():
+        if not np.isfinite(w).all():
+            continue
+        logit = F.lit(float(w[-1]))
+        for j in range(n):
+            logit += F.when(span["votes"][j] > 0, float(w[j])).when(span["votes"][j] < 0, float(w[n + j])).otherwise(0.0)
+        at = 2 * n
+        for j, size in enumerate(FORMS):
+            logit += F.get(F.array(*[F.lit(float(x)) for x in w[at : at + size]]), span["form"][j])
+            at += size
+        found |= (span["kind"] == kind) & (logit >= math.log(ACCEPT / (1 - ACCEPT)))
+    return found
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, spans`` for every row: the accepted spans (kind, start, end, base, votes) by kind and start.
+    """``doc_id, spans`` for every row: the accepted spans (kind, start, end, base, votes, form) by kind and start.
 
     NULL and empty texts, and texts without a digit or at sign, have no spans. Rows are independent of each other.
     """
@@ -235,7 +291,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Digest of ``find``: base counts by kind, digest of the base spans, all spans as text."""
+    """Digest of ``find``: base counts by kind, digest of the base spans, all spans as text, their number, and how many were added.
+
+    Repeated rows are rows of their own; columns beside id and text play no part.
+    """
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -244,4 +303,8 @@ def report(docs: DataFrame) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
 
-    return find(docs).select("doc_id", *map(count, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    n_spans = F.size("spans").cast("long")
+    return find(docs).select(
+        "doc_id", *map(count, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        n_spans.alias("n_spans"), (n_spans - F.size(base)).alias("n_added"),
+    )
