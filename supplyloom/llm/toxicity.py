@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar over the clauses of a text.
 
-Five small transducers read the words of a clause from left to right: insults, threats, targets, negation and
-reported speech. Their composition is one machine whose state is what has been seen so far (a negator, a reporting
-verb, a target, a threat verb); it writes a weight when an insult or a threat aimed at somebody is complete. Negation
-and reported speech damp what follows them in the clause, a target raises it. The written weights, kept
-apart by kind, are the features of a logistic model.
+Five small transducers read a clause from left to right, each the output of the one before: negation, reported speech, targets,
+threats and insults. They are tables of moves (state and letter to state, letter and factor) and are composed once into the
+machine that reads the texts; its states are what has been seen of a clause. Negation and reported speech mark
+what follows them in the clause, a target raises the insults after it, a threat counts once it is aimed at somebody. The
+written weights, kept apart by kind, are the features of a logistic model; an insult without any target in front of it is a kind
+of its own, whose weight the model learns.
 
 Insult words and stems, with their weights, are learned from labelled texts, so the grammar works in languages for
 which there is no word list. Threats, targets, negators and reporting verbs are closed lists.
@@ -15,7 +16,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -59,7 +62,7 @@ class _Symbols(dict):
         elif word in THREATS:
             symbol = ("H", 1.0)
         elif word in TARGETS:
-            symbol = ("T", 0.0)
+            symbol = ("T", 1.0)  # the weight a waiting threat is written with
         elif word in NEGATORS:
             symbol = ("N", 0.0)
         elif word in REPORTS:
@@ -74,38 +77,100 @@ class _Symbols(dict):
         return symbol
 
 
-def read_clauses(tokens: list[str], symbols: dict[str, tuple[str, float]]) -> np.ndarray:
-    """Run the composed transducer over all clauses; per kind the sum of the weights it wrote."""
-    written = np.zeros(KINDS)
-    negated = reported = aimed = False
-    threat = 0.0
+@dataclass(frozen=True)
+class Transducer:
+    """Moves of a machine that starts in state 0: (state, letter) to (state, letter written, factor of its weight).
+
+    A letter without a move is passed on unchanged; writing '' drops it.
+    """
+
+    moves: Mapping[tuple[int, str], tuple[int, str, float]]
+
+    def step(self, state: int, letter: str) -> tuple[int, str, float]:
+        return self.moves.get((state, letter), (state, letter, 1.0))
+
+    def run(self, letters: Iterable[tuple[str, float]]) -> list[tuple[str, float]]:
+        """What it writes, letter by letter with weights."""
+        state, out = 0, []
+        for letter, weight in letters:
+            state, written, factor = self.step(state, letter)
+            if written:
+                out.append((written, weight * factor))
+        return out
+
+
+def compose(first: Transducer, second: Transducer, letters: str) -> Transducer:
+    """One machine that writes what ``second`` writes on reading the output of ``first``, for inputs of these letters."""
+    numbers, moves, todo = {(0, 0): 0}, {}, [(0, 0)]
+    while todo:
+        a, b = pair = todo.pop()
+        for letter in letters:
+            to_a, middle, factor = first.step(a, letter)
+            to_b, written, more = second.step(b, middle) if middle else (b, "", 1.0)
+            if (to_a, to_b) not in numbers:
+                numbers[to_a, to_b] = len(numbers)
+                todo.append((to_a, to_b))
+            moves[numbers[pair], letter] = (numbers[to_a, to_b], written, factor * more)
+    return Transducer(moves)
+
+
+# Letters read: I insult, H threat, T target, N negator, R reporting verb, . end of a clause.
+LETTERS = "IHTNR."
+# after a negator until the clause ends: insults, targets and threats in small letters
+NEGATION = Transducer(
+    {(s, "N"): (1, "", 1.0) for s in (0, 1)}
+    | {(1, letter): (1, letter.lower(), 1.0) for letter in "ITH"}
+    | {(1, "."): (0, ".", 1.0)}
+)
+# after a reporting verb: J reported insult, G reported threat
+REPORTED_SPEECH = Transducer(
+    {(s, "R"): (1, "", 1.0) for s in (0, 1)} | {(1, "I"): (1, "J", 1.0), (1, "H"): (1, "G", 1.0), (1, "."): (0, ".", 1.0)}
+)
+# after a target: A aimed insult, K and L threats that are aimed already
+TARGETING = Transducer(
+    {(0, letter): (1, letter, 1.0) for letter in "Tt"}
+    | {(1, "I"): (1, "A", AIMED_SHARE), (1, "J"): (1, "J", AIMED_SHARE), (1, "i"): (1, "i", AIMED_SHARE)}
+    | {(1, "H"): (1, "K", 1.0), (1, "G"): (1, "L", 1.0), (1, "."): (0, ".", 1.0)}
+)
+# a threat waits (state 1, reported 2) for its target, which a negation in between spoils: X threat
+THREATENING = Transducer(
+    {(s, "H"): (1, "", 1.0) for s in range(3)}
+    | {(s, "G"): (2, "", 1.0) for s in range(3)}
+    | {(s, "K"): (0, "X", 1.0) for s in range(3)}
+    | {(s, "L"): (0, "X", REPORTED_SHARE) for s in range(3)}
+    | {(0, "T"): (0, "", 1.0), (1, "T"): (0, "X", 1.0), (2, "T"): (0, "X", REPORTED_SHARE)}
+    | {(s, letter): (0, written, 1.0) for s in range(3) for letter, written in (("t", ""), (".", "."))}
+    | {(s, "h"): (s, "", 1.0) for s in range(3)}
+)
+# what is written in the end, by kind
+INSULTING = Transducer({(0, "."): (0, "", 1.0), (0, "i"): (0, "i", NEGATED_SHARE), (0, "J"): (0, "J", REPORTED_SHARE)})
+WRITTEN = {"I": PLAIN, "A": AIMED, "i": NEGATED, "J": REPORTED, "X": THREAT}
+
+CHAIN = (NEGATION, REPORTED_SPEECH, TARGETING, THREATENING, INSULTING)
+GRAMMAR = reduce(lambda a, b: compose(a, b, LETTERS), CHAIN)
+
+
+def _table(machine: Transducer) -> list[dict[str, tuple[int, int, float]]]:
+    """Per state and letter the next state, the kind written (-1: nothing) and its factor."""
+    rows: list[dict[str, tuple[int, int, float]]] = [{} for _ in range(1 + max(s for s, _ in machine.moves))]
+    for (state, letter), (to, written, factor) in machine.moves.items():
+        rows[state][letter] = (to, WRITTEN[written] if written else -1, factor)
+    return rows
+
+
+TABLE = _table(GRAMMAR)
+
+
+def read_clauses(tokens: Sequence[str], symbols: Mapping[str, tuple[str, float]]) -> np.ndarray:
+    """Run the composed machine over all clauses; per kind the sum of the weights it wrote."""
+    written = [0.0] * KINDS
+    row = TABLE[0]
     for letter, weight in filter(_speaks, map(symbols.__getitem__, tokens)):
-        if letter == ".":
-            negated = reported = aimed = False
-            threat = 0.0
-        elif letter == "N":
-            negated = True
-        elif letter == "R":
-            reported = True
-        elif letter == "T":
-            aimed = True
-            if threat and not negated:
-                written[THREAT] += threat
-            threat = 0.0
-        elif letter == "H":
-            threat = weight * (REPORTED_SHARE if reported else 1.0)
-            if aimed and not negated:
-                written[THREAT] += threat
-                threat = 0.0
-        else:
-            share = AIMED_SHARE if aimed else 1.0
-            kind = AIMED if aimed else PLAIN
-            if negated:
-                share, kind = share * NEGATED_SHARE, NEGATED
-            elif reported:
-                share, kind = share * REPORTED_SHARE, REPORTED
-            written[kind] += share * weight
-    return written
+        to, kind, factor = row[letter]
+        row = TABLE[to]
+        if kind >= 0:
+            written[kind] += factor * weight
+    return np.array(written)
 
 
 def _speaks(symbol: tuple[str, float]) -> bool:
@@ -180,14 +245,16 @@ def fit(texts: list[str], toxic: list[int]) -> Grammar:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, parts: int = 3, held_out: int = 1) -> Grammar:
     """Fit on at most ``rows`` labelled documents of each class whose crc32(doc_id) mod ``parts`` is not ``held_out``.
 
-    They are those with the smallest hash of the id, so the choice does not depend on partitions. Rows without
-    text, id or label take no part; without both classes the model finds nothing toxic.
+    They are those with the smallest hash of the id, so the choice does not depend on partitions. An id with contradicting labels
+    counts as toxic, of several texts under one id the smallest is read. Rows without text, id or label take no part;
+    without both classes the model finds nothing toxic.
     """
-    known = labels.filter(hash_share(F.col("doc_id"), parts) != held_out).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.filter(hash_share(F.col("doc_id"), parts) != held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     chosen = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(rows) for c in (0, 1)]
     wanted = F.broadcast(chosen[0].union(chosen[1]))  # at most 2 * rows ids
     sample = docs.select("doc_id", "text").filter("text is not null").join(wanted, "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # one row for each id
     texts, toxic = [], []
     for row in sorted(sample.collect(), key=lambda r: (r.doc_id, r.text)):
         texts.append(row.text)
