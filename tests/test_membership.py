@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from supplyloom.operators import membership
 from supplyloom.operators.joins import fan_out
+from supplyloom.plans import dashboard
 
 
 def test_no_row_of_a_key_is_lost(spark):
@@ -56,3 +57,28 @@ def test_fan_out_counts_keys_before_lookups(spark, counted):
     got = fan_out(left, raw, "id", "child", rows_per_task=8, counted=raw.select("id") if counted else None)
     rows = sorted((r.id, r.child is not None) for r in got.collect())
     assert rows == [(0, False)] + [(1, True)] * 50 + [(2, True), (3, False)]
+
+
+def test_fan_out_without_hot_keys_leaves_rows_where_they_lie(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "id int, x string").repartition(3, "id")
+    right = spark.createDataFrame([(1, 10), (1, 11), (None, 12)], "id int, child int")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = fan_out(left, right, "id", "child", keep_salt=True)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
+        assert rows(got.select("id", "x", "child", "_salt")) == rows(left.join(right, "id", "left").selectExpr("id", "x", "child", "0"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_lookups_meet_wide_rows_by_number(spark, rows):
+    requests = spark.createDataFrame([(0, 1, 5, "w"), (1, 1, 6, "x"), (2, None, None, "y")], "_row long, id int, fk int, wide string")
+    names = spark.createDataFrame([(5, "a"), (5, "b"), (6, "c")], "pk int, name string")
+    found = requests.join(names, requests.fk == names.pk, "left").drop("pk")
+    got = dashboard._beside(requests, found, found.withColumnRenamed("name", "other").filter("other is null or other <> 'b'"))
+    assert rows(got) == [(None, None, "y", None, None), (1, 5, "w", "a", "a"), (1, 5, "w", "b", "a"), (1, 6, "x", "c", "c")]
+    # of the looked-up rows, only number and names reach the join with the wide rows
+    steps = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert len([step for step in steps if "Project" in step and "wide#" in step and "name#" in step]) == 1
