@@ -79,6 +79,6 @@ def test_lookups_meet_wide_rows_by_number(spark, rows):
     found = requests.join(names, requests.fk == names.pk, "left").drop("pk")
     got = dashboard._beside(requests, found, found.withColumnRenamed("name", "other").filter("other is null or other <> 'b'"))
     assert rows(got) == [(None, None, "y", None, None), (1, 5, "w", "a", "a"), (1, 5, "w", "b", "a"), (1, 6, "x", "c", "c")]
-    # of the looked-up rows, only number and names reach the join with the wide rows
-    steps = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # of the looked-up rows, only number and name reach the join with the wide rows
+    steps = dashboard._beside(requests, found)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert len([step for step in steps if "Project" in step and "wide#" in step and "name#" in step]) == 1
