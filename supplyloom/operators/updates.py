@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.functions.text import same_text, text_key
+from supplyloom.operators.joins import cross_periods
 from supplyloom.operators.windows import first_per_key
 
 
@@ -43,18 +44,33 @@ def update_from(
     return joined.withColumns(new).select(*df.columns, *[c for c in columns if c not in df.columns])
 
 
-def fill_measures(template: DataFrame, counts: DataFrame, keys: Sequence[str], kpis: Sequence[str]) -> DataFrame:
+def fill_measures(
+    template: DataFrame, counts: DataFrame, keys: Sequence[str], kpis: Sequence[str], listed: tuple[str, str] | None = None
+) -> DataFrame:
     """Set ``value`` on the rows of ``kpis`` to the measured count, 0 when there is none; other rows keep it.
 
-    ``counts`` holds one row per text ``keys``.
+    ``counts`` holds one row per text ``keys``. ``listed=("periods", "period")``: the template lists the values of a
+    key ``period`` in an array ``periods`` and becomes one row for each of them, behind the join. If ``period`` is among
+    ``keys``, the counts of the other keys meet a row together; the calendar bounds how many they are.
     """
+    joined = [k for k in keys if not listed or k != listed[1]]
+    split = len(joined) < len(keys)
     source = counts.select(*[text_key(F.col(k)).alias(f"_{k}") for k in keys], F.col("n_records").cast("double").alias("_n"))
-    on = [text_key(F.col(k)) == F.col(f"_{k}") for k in keys]
-    return (
-        template.join(source, on, "left")
-        .withColumn("value", F.when(same_text(F.col("kpi"), *kpis), F.coalesce(F.col("_n"), F.lit(0.0))).otherwise(F.col("value")))
-        .select(*template.columns)
-    )
+    if split:
+        entry = F.struct(F.col(f"_{listed[1]}").alias("at"), F.col("_n").alias("n"))
+        found = F.col(f"_{listed[1]}").isNotNull()
+        source = source.filter(found).groupBy(*[f"_{k}" for k in joined]).agg(F.collect_list(entry).alias("_counts"))
+    on = [text_key(F.col(k)) == F.col(f"_{k}") for k in joined]
+    rows = template.join(source, on, "left")
+    columns = list(template.columns)
+    if listed:
+        rows = cross_periods(rows, F.col(listed[0]), listed[1])
+        columns = [listed[1] if c == listed[0] else c for c in columns]
+    if split:
+        at = text_key(F.col(listed[1]))
+        rows = rows.withColumn("_n", F.get(F.filter("_counts", lambda c: c["at"] == at), F.lit(0))["n"])
+    filled = F.when(same_text(F.col("kpi"), *kpis), F.coalesce(F.col("_n"), F.lit(0.0))).otherwise(F.col("value"))
+    return rows.withColumn("value", filled).select(*columns)
 
 
 def transition(df: DataFrame, condition: Column, assignments: Mapping[str, object]) -> tuple[DataFrame, DataFrame]:

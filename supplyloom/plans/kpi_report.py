@@ -31,15 +31,21 @@ Tables = Mapping[str, DataFrame]
 
 
 def kpi_template(t: Tables, hierarchy: DataFrame, periods: Sequence[str], consolidation: DataFrame | None = None) -> DataFrame:
-    """Template rows: period, team, product, kpi, customer_name, value (NULL), and their sort columns.
+    """Template rows: period, team, product, kpi, customer_name, value (NULL), and their sort columns (see ``kpi_offers``)."""
+    offers = kpi_offers(t, hierarchy, periods, consolidation)
+    return cross_periods(offers, F.col("periods")).select("period", *[c for c in offers.columns if c != "periods"])
+
+
+def kpi_offers(t: Tables, hierarchy: DataFrame, periods: Sequence[str], consolidation: DataFrame | None = None) -> DataFrame:
+    """The template with one row for all ``periods`` of an offer, an array in the order of the report, never empty.
 
     Tables: team_customer, customer, team, service, service_name, kpi, kpi_name, customer_visibility.
     ``hierarchy`` gives the top-level customer of every customer (``id``, ``root_id``). ``consolidation``
     (customer_unit_id, team_id, service_name_id, period, consolidation) restricts the rows to the input
     level; without it every row counts as such.
 
-    All joins run on rows without period. The periods multiply them last and in place, where all validity
-    bounds are tested together.
+    All joins run on rows without period, those of the report too. The periods multiply them last and in place;
+    all validity bounds are tested together where they are listed.
     """
     if not periods:
         raise ValueError("at least one period is needed")
@@ -68,25 +74,29 @@ def kpi_template(t: Tables, hierarchy: DataFrame, periods: Sequence[str], consol
 
     offered = owner.join(team, "team_id").join(service, "team_customer_id").join(service_name, "service_name_id")
     measured = offered.join(kpi, "service_id").join(kpi_name, "kpi_name_id")
-    rows = join_top_level(measured, hierarchy, "owner_id").withColumnRenamed("node_id", "customer_unit_id")
+    units = hierarchy.join(unit, F.col("id") == F.col("customer_unit_id")).drop("customer_unit_id")
+    rows = join_top_level(measured, units, "owner_id").withColumnRenamed("node_id", "customer_unit_id")
     # Small as bytes, these rows would share one task, and the periods multiply them there. They are dealt out
-    # by number, which AQE leaves alone.
-    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    rows = rows.join(unit, "customer_unit_id").join(
-        hiding_windows(t["customer_visibility"]), ["team_id", "service_name_id", "customer_unit_id"], "left"
-    )
-    rows = cross_periods(rows, periods)
-    period = F.col("period")
-    for prefix in ("tc", "s", "k", "cu"):
-        rows = rows.filter(valid_at(period, F.col(f"{prefix}_from"), F.col(f"{prefix}_to")))
-    rows = rows.filter(~is_hidden(period))
+    # by number, which AQE leaves alone, and by the keys of the next join, which then finds them in place.
+    keys = ["team_id", "service_name_id", "customer_unit_id"]
+    spark = rows.sparkSession
+    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    rows = rows.join(hiding_windows(t["customer_visibility"]), keys, "left")
     if consolidation is not None:
-        level = consolidation.filter(same_text(F.col("consolidation"), INPUT_LEVEL))
-        rows = rows.join(level, ["customer_unit_id", "team_id", "service_name_id", "period"], "left_semi")
+        level = consolidation.filter(same_text(F.col("consolidation"), INPUT_LEVEL) & F.col("period").isin(*periods))
+        rows = rows.join(level.groupBy(*keys).agg(F.collect_set("period").alias("_input")), keys)
+
+    def offered_in(period: Column) -> Column:
+        shown = ~is_hidden(period)
+        for prefix in ("tc", "s", "k", "cu"):
+            shown = shown & valid_at(period, F.col(f"{prefix}_from"), F.col(f"{prefix}_to"))
+        return shown if consolidation is None else shown & F.array_contains("_input", period)
+
+    listed = F.filter(F.array(*[F.lit(p) for p in periods]), offered_in)
     return rows.select(
-        "period", "team", "product", "kpi", "customer_name", F.lit(None).cast("double").alias("value"),
+        listed.alias("periods"), "team", "product", "kpi", "customer_name", F.lit(None).cast("double").alias("value"),
         "customer_unit_id", "kpi_priority",
-    )
+    ).filter(F.size("periods") > 0)
 
 
 def _template_order() -> list[Column]:
@@ -172,14 +182,21 @@ def kpi_report(
 
 
 def report_from_counts(template: DataFrame, counts: DataFrame, per_period: bool = False) -> DataFrame:
-    """The report from counted records, one pass over the template for all KPIs."""
+    """The report from counted records, one pass over the template for all KPIs.
+
+    ``template`` has a row per period, or one per offer with the array ``periods`` (``kpi_offers``); offers meet the counts
+    before the periods multiply them.
+    """
+    listed = ("periods", "period") if "periods" in template.columns else None
     keys = MEASURE_KEYS + (["period"] if per_period else [])
     columns = ["period", "team", "product", "kpi", "customer_name", "value"]
     one = first_per_key(
         counts.withColumns({f"_{k}": text_key(F.col(k)) for k in keys}), [f"_{k}" for k in keys], [F.col("center_key")]
     )
-    filled = fill_measures(template.select(*columns), one, keys, [KPI_RECEIVED, *REQUEST_TYPE_KPIS.values()])
-    invalid = unmatched(counts, template, keys).select(
+    own = ["periods" if listed and c == "period" else c for c in columns]
+    filled = fill_measures(template.select(*own), one, keys, [KPI_RECEIVED, *REQUEST_TYPE_KPIS.values()], listed)
+    known = (template, MEASURE_KEYS, listed) if listed and per_period else (template, keys)
+    invalid = unmatched(counts, *known).select(
         F.lit(INVALID).alias("period"), "team", "product", "kpi", "customer_name", F.col("n_records").cast("double").alias("value")
     )
     return filled.unionByName(invalid)

@@ -3,6 +3,7 @@
 import random
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from supplyloom.operators import distinct, windows
@@ -68,3 +69,31 @@ def test_numbers_in_cells_equal_a_global_order(spark):
     assert [(r.p, r.c, r["_n"]) for r in sorted(got.collect(), key=lambda r: r.no)] == wanted
     assert sorted(r.no for r in got.collect()) == list(range(1, 401))
     assert windows.number_in_cells(df.filter("false"), order, [(F.col("p"), True)]).count() == 0
+
+
+@pytest.mark.parametrize("per_period", [False, True])
+def test_offers_give_the_report_of_their_rows(spark, rows, per_period):
+    """An offer with a list of periods meets the counts once; the result is that of one row per period."""
+    received, other = kpi.KPI_RECEIVED, "Some other value"
+    offers = spark.createDataFrame(
+        [
+            (["19970300", "19970400"], "T", "P", received, "Ann", None), (["19970400"], "T", "P", received, "Bob", None),
+            (["19970300"], "T", "P", other, "Ann", 7.0), (["19970300"], "T", "P", received, None, None), ([], "T", "P", received, "Eve", None),
+        ],
+        "periods array<string>, team string, product string, kpi string, customer_name string, value double",
+    )
+    counts = spark.createDataFrame(
+        [
+            ("t ", "ANN", received, "19970300", 3, "c", "P"), ("T", "Ann", received, "19970400", 4, "c", "P"), ("T", "Ann", received, "19970300", 9, "d", "P"),
+            ("T", "Bob", received, "19970300", 5, "c", "P"), ("T", "Cid", received, "19970300", 6, "c", "P"), ("T", None, received, None, 8, "c", "P"),
+        ],
+        "team string, customer_name string, kpi string, period string, n_records long, center_key string, product string",
+    )
+    if not per_period:
+        counts = counts.filter("not (customer_name = 'Ann' and center_key = 'c')").drop("period")
+    template = offers.select(F.explode("periods").alias("period"), *offers.columns[1:])
+    got, plain = (kpi.report_from_counts(t, counts, per_period) for t in (offers, template))
+    assert got.columns == plain.columns
+    assert rows(got) == rows(plain)
+    if per_period:
+        assert {(r.period, r.value) for r in got.filter("customer_name = 'Ann' and team = 'T'").collect()} >= {("19970300", 3.0), ("19970400", 4.0), ("19970300", 7.0)}
