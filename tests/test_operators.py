@@ -196,3 +196,22 @@ def test_scope_uses_spillover_before_received_year(spark):
     ]
     df = spark.createDataFrame(data, "id int, status_id int, input_received date, spillover_fy_calculated string")
     assert [r.id for r in current_fy_scope(df, date(1998, 3, 10)).orderBy("id").collect()] == [1, 2, 4, 6]
+
+
+def test_quality_sample_reads_its_record_once(spark):
+    rows = [(p, t, f"o{i}", "c", i % 3, str(i % 2), i) for i, (p, t) in enumerate([("1", 1), ("1", 2), ("2", 1), ("1", None)] * 12)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    plain = spark.createDataFrame(
+        rows, "period string, team_id int, po_number string, category_id string, customer_id int, po_created_by string, line int"
+    )
+    prior = plain.filter("line = 0").select("po_number")
+    args = ("1", "s", datetime(1998, 4, 1), 9, ["po_number", "line"], 13)
+    got = quality_sample(plain.mapInPandas(counted, plain.schema), prior, *args)
+    assert sorted(r.po_number for r in got.collect()) == sorted(r.po_number for r in quality_sample(plain, prior, *args).collect())
+    assert seen.value == len(rows)
