@@ -2,7 +2,8 @@
 
 A window is cut into the months it covers whole and the single days of the months it covers in part. For every key and month, and
 every key and day, only the window that would win there is kept, so a key holds at most one row per month and day of the
-calendar, and a fact meets at most one of each: nothing is multiplied, ranked or gathered per key.
+calendar, and a fact meets at most one of each: nothing is multiplied, ranked or gathered per key. Only months and days on which
+a key has facts are cut out.
 
 Days and bounds are compared as text (``yyyyMMdd``), as the reports do: a bound ``yyyyMM00`` opens with its month, the end of
 a window is the end of its month (``month_end``), a NULL bound is open.
@@ -32,28 +33,45 @@ def months_of(days: DataFrame, day: str) -> list[str]:
     return sorted(r["m"] for r in months.collect())
 
 
+def asked_days(facts: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Months in which a key has facts (``_month``), with the bits of their days (``_days``); one row per key and month."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(day))
+    dated = facts.select(*keys, F.date_format(day, "yyyyMM").alias("_month"), bit.alias("_bit")).dropna()
+    return dated.groupBy(*keys, "_month").agg(F.bit_or("_bit").alias("_days"))
+
+
 def calendar_rows(
-    windows: DataFrame, keys: Sequence[str], rank: Sequence[str], months: Sequence[str], valid_from: str = "valid_from", valid_to: str = "valid_to"
+    windows: DataFrame,
+    keys: Sequence[str],
+    rank: Sequence[str],
+    months: Sequence[str] | DataFrame,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
 ) -> tuple[DataFrame, DataFrame]:
     """The winning window per key and month it covers whole (``_month``), and per key and other day of its months (``_day``).
 
     ``_best`` holds the ``rank`` columns of the window; the highest wins, NULL below all others. ``valid_to`` is taken as it is.
+    ``months`` lists the months of all keys, or is a frame of ``asked_days``: then a window becomes rows only for the months and
+    days its own key is asked for.
     """
     low, high = F.col(valid_from), F.col(valid_to)
-    listed = F.array(*[F.lit(m) for m in months]) if months else F.array().cast("array<string>")
-    touched = F.filter(
-        listed,
-        lambda m: (low.isNull() | (F.concat(m, F.lit(DAYS[-1])) >= low)) & (high.isNull() | (F.concat(m, F.lit(DAYS[0])) <= high)),
-    )
     month = F.col("_month")
-    whole = (low.isNull() | (F.concat(month, F.lit(DAYS[0])) >= low)) & (high.isNull() | (F.concat(month, F.lit(DAYS[-1])) <= high))
+    opens, closes = F.concat(month, F.lit(DAYS[0])), F.concat(month, F.lit(DAYS[-1]))
+    touched = (low.isNull() | (closes >= low)) & (high.isNull() | (opens <= high))
+    whole = (low.isNull() | (opens >= low)) & (high.isNull() | (closes <= high))
     # windows that agree in all that matters are one
     cut = windows.select(*keys, valid_from, valid_to, F.struct(*rank).alias("_best")).distinct()
-    by_month = cut.select(*keys, valid_from, valid_to, "_best", F.explode(touched).alias("_month")).withColumn("_whole", whole)
+    if isinstance(months, DataFrame):
+        dated = cut.join(months, list(keys))
+    else:
+        listed = F.array(*[F.lit(m) for m in months]) if months else F.array().cast("array<string>")
+        dated = cut.withColumn("_month", F.explode(listed)).withColumn("_days", F.lit(-1).cast("long"))
+    by_month = dated.filter(touched).withColumn("_whole", whole)
     best = F.max("_best").alias("_best")
     full = by_month.filter("_whole").groupBy(*keys, "_month").agg(best)
+    asked = F.filter(F.array(*[F.lit(d) for d in DAYS]), lambda d: F.getbit("_days", d.cast("int")) == 1)
     days = F.filter(
-        F.transform(F.array(*[F.lit(d) for d in DAYS]), lambda d: F.concat(month, d)),
+        F.transform(asked, lambda d: F.concat(month, d)),
         lambda d: (low.isNull() | (d >= low)) & (high.isNull() | (d <= high)),
     )
     edges = by_month.filter(~F.col("_whole")).select(*keys, "_best", F.explode(days).alias("_day")).groupBy(*keys, "_day").agg(best)
@@ -75,7 +93,7 @@ def attach_valid(
     Never adds or drops a row. A NULL day or key has no window. The two equi joins carry no size assumption; a hot key is
     spread over its months and days, and over more tasks by AQE.
     """
-    full, edges = calendar_rows(windows, keys, rank, months_of(facts, day), valid_from, valid_to)
+    full, edges = calendar_rows(windows, keys, rank, asked_days(facts, keys, day), valid_from, valid_to)
     for rows, kind, format_ in ((full, "_month", "yyyyMM"), (edges, "_day", "yyyyMMdd")):
         named = rows.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col(kind).alias("_at"), F.col("_best").alias(f"_hit{kind}"))
         same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_key_{k}") for k in keys], F.date_format(day, format_) == F.col("_at"))
