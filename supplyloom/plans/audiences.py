@@ -13,7 +13,7 @@ from supplyloom.functions.dates import add_workdays
 from supplyloom.functions.text import render_template, text_key
 from supplyloom.operators.updates import transition
 from supplyloom.plans.purchase_orders import new_items_by_team
-from supplyloom.session import stable
+from supplyloom.session import staged
 
 # fixed values
 CREATED, IN_PROGRESS = 1, 3
@@ -22,16 +22,24 @@ TARGET_WORKDAYS = 10
 
 
 def audience(users: DataFrame, team: DataFrame, auth: DataFrame, items: DataFrame) -> DataFrame:
-    """Users with the right to the order module, once per period in which their team has items."""
+    """Users with the right to the order module, once per period in which their team has items.
+
+    The users of a team are many and their rows short, the mails are the users times the periods. So the few counts are stored
+    first, which tells Spark their size, and the users are dealt out over all tasks before they are multiplied.
+    """
     entitled = auth.filter(F.lower("item_name").contains(RIGHT_NAME.lower())).select(F.col("user_id").alias("id")).distinct()
-    counted = items.filter(F.col("team").isNotNull() & (F.col("new_items") > 0)).select(
-        text_key(F.col("team")).alias("_team_key"), "period", "new_items"
+    counted = staged(
+        items.filter(F.col("team").isNotNull() & (F.col("new_items") > 0)).select(
+            text_key(F.col("team")).alias("_team_key"), "period", "new_items"
+        )
     )
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     teams = team.select(F.col("id").alias("team_id"), F.col("name").alias("team"))
     return (
         users.join(entitled, "id", "left_semi")
         .join(teams, "team_id")
-        .withColumn("_team_key", text_key(F.col("team")))
+        .select("id", "full_name", "email", "team", text_key(F.col("team")).alias("_team_key"))
+        .repartition(tasks, "id")
         .join(counted, "_team_key")
         .select(F.col("id").alias("user_id"), "full_name", "email", "team", "period", "new_items")
     )
@@ -117,12 +125,14 @@ def mail_run(
     """The whole run: notify, move the created requests on, and only then look for reminders.
 
     A request created more than ten working days ago is notified and reminded in the same run. The mails are put into
-    the shared folder before anything is marked, so what was sent and what is marked agree.
+    the shared folder before anything is marked, so what was sent and what is marked agree. So is what both kinds of mail
+    need of the order view.
     """
     people = (users, team, auth)
-    notifications = stable(notification_audience(*people, requests, record_view, as_of, notification, signature))
+    record_view = staged(record_view.select("po_number", "period", "team"))
+    notifications = staged(notification_audience(*people, requests, record_view, as_of, notification, signature))
     notified, changed = mark_notified(requests, notifications)
-    reminders = stable(reminder_audience(*people, notified, record_view, as_of, reminder, signature))
+    reminders = staged(reminder_audience(*people, notified, record_view, as_of, reminder, signature))
     reminded, _ = mark_reminded(notified, reminders)
 
     names = ("notifications", "notified", "reminders")
