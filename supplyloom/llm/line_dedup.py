@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from supplyloom.llm.common import staged
 
-BUCKETS = 1 << 20
-STEPS = (4, 16, 64, 256, 1024)  # a bucket with so many times the mean count holds common tokens
+BUCKETS = 1 << 18
+STEPS = (1, 4, 16, 64, 256)  # a bucket with so many times the mean count holds common tokens
 RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
 LONG = 128
 NO_ID = -(1 << 63)  # a NULL id stands before all others
@@ -86,10 +86,10 @@ def _same_line() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")]
 
 
-def _common_buckets(docs: DataFrame, text_col: str) -> list[list[int]]:
-    """Token buckets that stand out, one list for each factor of ``STEPS`` times the mean count of a bucket.
+def _levels(docs: DataFrame, text_col: str) -> bytes:
+    """One byte for each bucket of tokens: how many of ``STEPS`` times the mean count it reaches.
 
-    A list cannot hold more than BUCKETS / factor numbers, whatever the size of the corpus.
+    The table has ``BUCKETS`` bytes, whatever the size of the corpus.
     """
     counts = staged(
         docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACE)).alias("token"))
@@ -99,8 +99,12 @@ def _common_buckets(docs: DataFrame, text_col: str) -> list[list[int]]:
     )
     mean = (counts.agg(F.sum("count")).first()[0] or 0) / BUCKETS
     unit = max(mean, RARE / STEPS[0])
-    rows = counts.filter(F.col("count") >= STEPS[0] * unit).collect()  # at most BUCKETS / 4 pairs of numbers
-    return [sorted(r.bucket for r in rows if r["count"] >= factor * unit) for factor in STEPS]
+    level = sum((F.col("count") >= factor * unit).cast("int") for factor in STEPS)
+    marked = counts.filter(level > 0).select((F.col("bucket") * 8 + level).alias("entry"))
+    table = bytearray(BUCKETS)
+    for entry in marked.agg(F.collect_list("entry")).first()[0]:  # at most BUCKETS whole numbers
+        table[entry >> 3] = entry & 7
+    return bytes(table)
 
 
 def _bucket(h: Column) -> Column:
@@ -109,12 +113,14 @@ def _bucket(h: Column) -> Column:
 
 def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``token, doc, at, h1, n, i, sig``: the prefix of each distinct line, at its earliest place."""
-    level = "0L"
-    for k, common in reversed(list(enumerate(_common_buckets(docs, text_col), 1))):  # most tokens are in no list
-        if common:
-            level = f"if(cast(pmod(h, {BUCKETS}) as int) in ({','.join(map(str, common))}), greatest({k}L, {level}), 0L)"
+    table = F.lit(_levels(docs, text_col))
+
+    def rank(h: Column) -> Column:
+        level = F.ascii(F.substring(table, _bucket(h) + 1, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
     # common tokens last, then by hash: a total order of the tokens
-    ranks = F.expr(f"transform(hashes, h -> shiftleft({level}, 56) | shiftrightunsigned(h, 8))")
+    ranks = F.transform("hashes", rank)
     sets = (
         _lines(docs, id_col, text_col)
         .withColumn("hashes", F.array_distinct(F.transform(_tokens(F.col("line")), lambda t: F.xxhash64(t))))

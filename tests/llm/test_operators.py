@@ -470,6 +470,15 @@ def test_line_dedup_of_many_texts_under_one_id(spark):
     assert any(gone.values()) and not all(gone.values())
 
 
+def test_line_dedup_holds_the_common_tokens_in_a_table_of_fixed_size(spark):
+    """The plan holds one byte for a bucket, not the numbers of all common ones; rare tokens stay at 0."""
+    df = docs_of(spark, [" ".join(["the"] * 300 + ["of"] * 1_000 + [f"w{i}"]) for i in range(3)])
+    table = line_dedup._levels(df, "text")
+    at = {r.token: r.at for r in df.select(F.explode(F.split("text", " ")).alias("token")).distinct().select("token", line_dedup._bucket(F.xxhash64("token")).alias("at")).collect()}
+    assert len(table) == line_dedup.BUCKETS and sum(map(bool, table)) == 2
+    assert (table[at["the"]], table[at["of"]], table[at["w1"]]) == (2, 2, 0)
+
+
 def xxhash_of(spark, df, known={}):
     """The order of texts under one id: by the upper bits of the version, unsigned."""
     if not known:

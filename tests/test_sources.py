@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -88,3 +89,21 @@ def test_defaults_fit_a_session_made_elsewhere(spark):
 def test_append_rows_by_name(spark):
     both = tables.append_rows(spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(2,)], "k int"))
     assert sorted((r.k, r.v) for r in both.collect()) == [(1, "a"), (2, None)] and both.filter(F.col("v").isNull()).count() == 1
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(",")
+    return {b for b in blocks.split(",") if b.startswith("shuffle_")}
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    """Shuffle files of a staged table go with its job, without waiting for garbage collection of its plan."""
+    before = shuffle_files(spark)
+    kept = session.staged(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and kept.agg(F.sum("count")).first()[0] == 1_000
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) in (None, "false", "true")
