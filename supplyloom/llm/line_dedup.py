@@ -8,8 +8,8 @@ different texts, one stands before the other by text hash. Lines without tokens
 Equal lines are first reduced to their earliest one. Tokens are ordered from rare to common by the
 levels of a hashed count table of fixed size; ties are ordered by hash, so the order is total. Lines that match share a token among their
 first ``n - ceil(0.8 n) + 1`` ones (prefix filter); lengths, the positions of the shared token and the parity bits of
-both sets bound the overlap from above (length, positional and bitmap filter). What passes is verified on the
-tokens themselves.
+both sets bound the overlap from above (length, positional and bitmap filter), and so does the number of tokens that the
+prefixes of a pair share. What passes is verified on the tokens themselves.
 
 Of two matching lines the shorter one (or equally long) has the shared token even among its first
 ``n - ceil(8/9 n) + 1``. These near postings are joined with each other and with the far ones, so two far ones never meet. In a
@@ -111,8 +111,11 @@ def _bucket(h: Column) -> Column:
     return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
-def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``token, doc, at, h1, n, i, sig``: the prefix of each distinct line, at its earliest place."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, at, h1, n, sig, prefix`` of each distinct line, at its earliest place; stored once.
+
+    The table of levels stands in the plan of this job alone: in those of the joins, the texts of the plans fill the driver.
+    """
     table = F.lit(_levels(docs, text_col))
 
     def rank(h: Column) -> Column:
@@ -137,9 +140,22 @@ def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         )
     )
     classes = _first_places(sets, "h1", "h2", "n", "sig", "prefix")
-    return classes.select(
-        F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "h1", "n", "sig", F.posexplode("prefix").alias("i", "token")
-    ).select("token", "doc", "at", "h1", "n", "i", "sig")
+    return staged(classes.select(F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "h1", "n", "sig", "prefix"))
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The distinct pairs whose prefixes share as many tokens as those of matching lines do.
+
+    Matching lines share ``t = ceil(4/9 (n + m))`` tokens. Prefixes cut to ``n - t + l`` and ``m - t + l`` tokens then share at
+    least ``l``. Two tokens of a prefix with the same 31 bits count twice.
+    """
+    lines = classes.select(*LINE, "n", "prefix")
+    others = lines.select(*(F.col(c).alias(f"other_{c}") for c in lines.columns))
+    shared = F.expr("size(array_intersect(prefix, other_prefix)) + size(prefix) - size(array_distinct(prefix))")
+    least = F.expr("(4 * (n + other_n) + 8) div 9 + least(size(prefix) - n, size(other_prefix) - other_n)")
+    return (
+        pairs.distinct().join(lines, LINE).join(others, [f"other_{c}" for c in LINE]).filter(shared >= least).select(pairs.columns)
+    )
 
 
 def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -162,17 +178,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) ->
     wanted = staged(pairs.select(*LINE).union(pairs.select(*(f"other_{c}" for c in LINE))).distinct())
     lines = _lines(docs, id_col, text_col).select("doc", "at", *_same_line(), "line")
     lines = staged(_only(lines, wanted).join(wanted, LINE).groupBy(*LINE).agg(F.first("h2").alias("h2"), F.first("line").alias("line")))
-    others = lines.select(*(F.col(c).alias(f"other_{c}") for c in (*LINE, "line")))
+    lines = lines.withColumn("n", F.size(F.array_distinct(_tokens(F.col("line")))))
+    others = lines.select(*(F.col(c).alias(f"other_{c}") for c in (*LINE, "line", "n")))
     both = pairs.join(lines, LINE).join(others, [f"other_{c}" for c in LINE])
     out = (*LINE, "h2")
-    sets = both.select(*out, F.array_distinct(_tokens(F.col("line"))).alias("x"), F.array_distinct(_tokens(F.col("other_line"))).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return sets.filter(5 * common >= 4 * (F.size("x") + F.size("y") - common)).select(*out).distinct()
+    # the intersection holds each token once; it stands in the test once, so each pair is cut and compared once
+    common = F.size(F.array_intersect(_tokens(F.col("line")), _tokens(F.col("other_line"))))
+    return both.filter(9 * common >= 4 * (F.col("n") + F.col("other_n"))).select(*out).distinct()
 
 
 def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, at, h1, h2`` of the distinct lines (at their earliest place) that match an earlier line which is not equal."""
-    postings = _postings(docs, id_col, text_col)
+    classes = _classes(docs, id_col, text_col)
+    postings = classes.select("doc", "at", "h1", "n", "sig", F.posexplode("prefix").alias("i", "token"))
     is_near = F.expr("i < n - (8 * n + 8) div 9 + 1")
     first = Window.partitionBy("token").orderBy(*LINE)
     near = (
@@ -188,7 +206,7 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = near.join(other, "token").filter((short & later & passes) | long_first).withColumn("near", F.lit(True)).drop("size", "place")
     met = met.union(far.join(other, "token").filter((short & passes) | long_first).withColumn("near", F.lit(False)).select(met.columns))
     met = staged(met.withColumn("passes", later & passes | passes & short).withColumn("long", long_first).drop("other_size", "other_place"))
-    candidates = _ordered(met.filter("passes"))
+    candidates = staged(_plausible(_ordered(met.filter("passes")), classes))
     # one candidate of each line is tried first; nearly all that pass the filters match
     by = "other_h1"
     tried = candidates.groupBy(*LINE).agg(*(F.min_by(f"other_{c}", by).alias(f"other_{c}") for c in LINE))
@@ -199,7 +217,8 @@ def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near_rest = rest.join(others.filter("other_near"), "token").filter(later & passes)
     far_rest = rest.filter("near").join(others.filter("not other_near"), "token").filter(later & passes)
     open_pairs = candidates.join(found, LINE, "left_anti")
-    pairs = staged(open_pairs.union(_ordered(near_rest)).union(_ordered(far_rest)).distinct())
+    rest_pairs = _plausible(_ordered(near_rest).union(_ordered(far_rest)), classes)
+    pairs = staged(open_pairs.union(rest_pairs).distinct())
     return found.union(_verified(docs, pairs, id_col, text_col)).distinct()
 
 

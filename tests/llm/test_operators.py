@@ -479,6 +479,26 @@ def test_line_dedup_holds_the_common_tokens_in_a_table_of_fixed_size(spark):
     assert (table[at["the"]], table[at["of"]], table[at["w1"]]) == (2, 2, 0)
 
 
+def test_line_dedup_keeps_the_table_of_levels_out_of_its_joins(spark, monkeypatch):
+    plans, store = [], line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df: plans.append(len(df._jdf.queryExecution().toString())) or store(df))
+    df = docs_of(spark, ["a b c d e f\ng h i", "a b c d e f k\ng h i"])
+    plans.append(len(line_dedup.dedup_lines(df)._jdf.queryExecution().toString()))
+    assert sum(plans) < 16 * line_dedup.BUCKETS
+
+
+def test_line_dedup_cuts_only_pairs_that_share_enough_of_their_prefixes(spark, monkeypatch):
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.sample(words, 100) + [f"own{k}x{i}" for i in range(100)]) for k in range(6)]
+    texts += [" ".join([*words[:95], *(f"new{k}x{i}" for i in range(5))]) for k in range(3)]
+    cut, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda docs, pairs, *c: cut.extend(pairs.collect()) or verified(docs, pairs, *c))
+    gone = {r.doc_id: list(r["__gone"]) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert gone == {i: [0] if i in (7, 8) else [] for i in range(9)} == plain_removed(texts)
+    assert {(r.other_doc, r.doc) for r in cut} <= {(6, 7), (6, 8), (7, 8)}
+
+
 def xxhash_of(spark, df, known={}):
     """The order of texts under one id: by the upper bits of the version, unsigned."""
     if not known:
