@@ -7,15 +7,17 @@ different texts, one stands before the other by text hash. Lines without tokens
 
 Equal lines are first reduced to their earliest one. Tokens are ordered from rare to common by the
 levels of a hashed count table of fixed size; ties are ordered by hash, so the order is total. Lines that match share a token among their
-first ``n - ceil(0.8 n) + 1`` ones (prefix filter); lengths, the positions of the shared token and the parity bits of
+first ``n - ceil(0.8 n) + 1`` ones (prefix filter); lengths, the positions of the shared token and 128 parity bits of
 both sets bound the overlap from above (length, positional and bitmap filter), and so does the number of tokens that the
 prefixes of a pair share. What passes is verified on the tokens themselves.
 
 Of two matching lines the shorter one (or equally long) has the shared token even among its first
-``n - ceil(8/9 n) + 1``. These near postings are joined with each other and with the far ones, so two far ones never meet. In a
-list with more than ``LONG`` near postings a line first meets the first line of the list alone; only lines that are
+``n - ceil(8/9 n) + 1``. These near postings are joined with each other and with the far ones of longer lines, so two far ones
+never meet. In a list with more than ``LONG`` near postings a line first meets the first line of the list alone; only lines that are
 still without a match then meet the rest of it. So a group of thousands of variants costs a few comparisons for each
 line, and no match is lost.
+
+What is stored on the way goes as soon as the next step has read it.
 """
 
 from __future__ import annotations
@@ -23,21 +25,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supplyloom.llm.common import staged
+from supplyloom.llm.common import staged, unstaged
 
 BUCKETS = 1 << 18
 STEPS = (1, 4, 16, 64, 256)  # a bucket with so many times the mean count holds common tokens
 RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
-LONG = 128
+LONG = 1024
 NO_ID = -(1 << 63)  # a NULL id stands before all others
 NUMBER_BITS = VERSION_BITS = 31  # a text holds less than 2 GB
-SPACE = r"\s+"
+SPACES = "\t\n\x0b\f\r"
+WORDS = 1 << 17  # of 64 bits each, in a bitmap of fixed size
+LINE = ["doc", "at", "h1"]
+SIGS = [f"sig{k}" for k in range(2)]
 # Jaccard 4/5 means an overlap of at least 4/9 (n + m) and at most 1/9 (n + m) tokens that differ
 MATCH = (
-    "9 * bit_count({s} ^ {t}) <= {n} + {m}"
-    " and 9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
-    " and 5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
+    f"9 * ({' + '.join(f'bit_count({s} ^ other_{s})' for s in SIGS)}) <= n + other_n"
+    " and 9 * least(n - i, other_n - other_i) >= 4 * (n + other_n)"
+    " and 5 * least(n, other_n) >= 4 * greatest(n, other_n)"
+)
+NEAR = "i < n - (8 * n + 8) div 9 + 1"
+# the shorter line has the first shared token among its near ones, so a far posting meets near ones of shorter lines only
+MEETS = "case when near and other_near then id <> other_id when near then other_n > n else other_near and n > other_n end"
+# prefixes of n - t + l and m - t + l tokens share at least l where the lines share t = ceil(4/9 (n + m))
+SHARED = (
+    "size(array_intersect(prefix, other_prefix)) + size(prefix) - size(array_distinct(prefix))"
+    " >= (4 * (n + other_n) + 8) div 9 + least(size(prefix) - n, size(other_prefix) - other_n)"
 )
+# a pair is taken at the first token that its prefixes share, in the order of the shorter line
+FIRST = (
+    "token = case when struct(n, id) < struct(other_n, other_id)"
+    " then get(array_intersect(prefix, other_prefix), 0) else get(array_intersect(other_prefix, prefix), 0) end"
+)
+LATER = "({a}doc > {b}doc or ({a}doc = {b}doc and ({a}at > {b}at or ({a}at = {b}at and {a}h1 > {b}h1))))"
 
 
 def _version(id_col: str, text_col: str) -> Column:
@@ -68,7 +87,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _tokens(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE), "")
+    return F.array_remove(_split(line), "")
+
+
+def _split(text: Column) -> Column:
+    """As ``split(text, "\\\\s+")``, with empty strings beside longer white space; one blank splits much faster than a pattern."""
+    for space in SPACES:
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.split(text, " ")
 
 
 def _first_places(lines: DataFrame, *keys: str, also: tuple[str, ...] = ()) -> DataFrame:
@@ -77,7 +103,7 @@ def _first_places(lines: DataFrame, *keys: str, also: tuple[str, ...] = ()) -> D
     return (
         lines.withColumn("place", place)
         .groupBy(*keys)
-        .agg(F.min_by("doc", "place").alias("first_doc"), F.min_by("at", "place").alias("first_at"), *(F.min_by(c, "place").alias(f"first_{c}") for c in also))
+        .agg(F.count("*").alias("copies"), F.min_by("doc", "place").alias("first_doc"), F.min_by("at", "place").alias("first_at"), *(F.min_by(c, "place").alias(f"first_{c}") for c in also))
     )
 
 
@@ -92,7 +118,8 @@ def _levels(docs: DataFrame, text_col: str) -> bytes:
     The table has ``BUCKETS`` bytes, whatever the size of the corpus.
     """
     counts = staged(
-        docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACE)).alias("token"))
+        docs.select(F.explode(_split(F.coalesce(F.col(text_col), F.lit("")))).alias("token"))
+        .filter("token <> ''")
         .select(_bucket(F.xxhash64("token")).alias("bucket"))
         .groupBy("bucket")
         .count()
@@ -104,6 +131,7 @@ def _levels(docs: DataFrame, text_col: str) -> bytes:
     table = bytearray(BUCKETS)
     for entry in marked.agg(F.collect_list("entry")).first()[0]:  # at most BUCKETS whole numbers
         table[entry >> 3] = entry & 7
+    unstaged(counts)
     return bytes(table)
 
 
@@ -112,7 +140,7 @@ def _bucket(h: Column) -> Column:
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, at, h1, n, sig, prefix`` of each distinct line, at its earliest place; stored once.
+    """``id, doc, at, version, h1, h2, copies, n, sig0, sig1, prefix`` of each distinct line, at its earliest place; stored once.
 
     The table of levels stands in the plan of this job alone: in those of the joins, the texts of the plans fill the driver.
     """
@@ -124,6 +152,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     # common tokens last, then by hash: a total order of the tokens
     ranks = F.transform("hashes", rank)
+    sig = "aggregate(filter(ranks, r -> (r & 64) = {part}), 0L, (acc, r) -> acc ^ shiftleft(1L, cast(r & 63 as int)))"
     sets = (
         _lines(docs, id_col, text_col)
         .withColumn("hashes", F.array_distinct(F.transform(_tokens(F.col("line")), lambda t: F.xxhash64(t))))
@@ -131,106 +160,114 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .select(
             "doc",
             "at",
+            "version",
             *_same_line(),
             F.size("ranks").cast("long").alias("n"),
-            F.expr("aggregate(ranks, 0L, (acc, r) -> acc ^ shiftleft(1L, cast(r & 63 as int)))").alias("sig"),
+            *(F.expr(sig.format(part=64 * k)).alias(s) for k, s in enumerate(SIGS)),
             F.expr(
                 "transform(slice(ranks, 1, size(ranks) - (4 * size(ranks) + 4) div 5 + 1), r -> cast(r & 2147483647 as int))"
             ).alias("prefix"),
         )
     )
-    classes = _first_places(sets, "h1", "h2", "n", "sig", "prefix")
-    return staged(classes.select(F.col("first_doc").alias("doc"), F.col("first_at").alias("at"), "h1", "n", "sig", "prefix"))
+    keys = ("h1", "h2", "n", *SIGS, "prefix")
+    classes = _first_places(sets, *keys, also=("version",))
+    places = (F.col(f"first_{c}").alias(c) for c in ("doc", "at", "version"))
+    return staged(classes.select(F.monotonically_increasing_id().alias("id"), *places, "copies", *keys))
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The distinct pairs whose prefixes share as many tokens as those of matching lines do.
+    """The distinct ones of ``pairs (id, other_id)`` whose prefixes share as many tokens as those of matching lines do.
 
-    Matching lines share ``t = ceil(4/9 (n + m))`` tokens. Prefixes cut to ``n - t + l`` and ``m - t + l`` tokens then share at
-    least ``l``. Two tokens of a prefix with the same 31 bits count twice.
+    The later line comes back as ``id, doc, at, h1``, the earlier one as ``other_id, other_doc, other_at, other_h1``. Two
+    tokens of a prefix with the same 31 bits count twice.
     """
-    lines = classes.select(*LINE, "n", "prefix")
+    lines = classes.select("id", *LINE, "n", "prefix")
     others = lines.select(*(F.col(c).alias(f"other_{c}") for c in lines.columns))
-    shared = F.expr("size(array_intersect(prefix, other_prefix)) + size(prefix) - size(array_distinct(prefix))")
-    least = F.expr("(4 * (n + other_n) + 8) div 9 + least(size(prefix) - n, size(other_prefix) - other_n)")
-    return (
-        pairs.distinct().join(lines, LINE).join(others, [f"other_{c}" for c in LINE]).filter(shared >= least).select(pairs.columns)
-    )
+    return _ordered(pairs.distinct().join(lines, "id").join(others, "other_id").filter(SHARED))
 
 
-def _only(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``lines (doc, at, h1, ...)`` that may be among ``wanted (doc, at, h1)``: a bitmap of fixed size (1 MB) spares the
-    others the shuffle of the join that follows. It lets too many through, never too few."""
-    h = F.pmod(F.xxhash64(*LINE), F.lit(1 << 23))
-    bits = wanted.groupBy(F.bitmap_bucket_number(h).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bits"))
-    place = F.bitmap_bit_position(h).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (
-        lines.withColumn("bucket", F.bitmap_bucket_number(h))
-        .join(F.broadcast(bits), "bucket")
-        .filter((F.call_function("shiftright", byte, place % 8).bitwiseAND(1)) == 1)
-        .select(lines.columns)
-    )
+def _bit(h: Column) -> tuple[Column, Column]:
+    """The word of a hash in a bitmap of ``WORDS`` words, and its bit there."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+    return F.shiftright(h, 6).bitwiseAND(F.lit(WORDS - 1).cast("long")), bit
+
+
+def _only(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Those of ``rows`` whose ``keys`` may be among ``wanted``: a bitmap of fixed size (1 MB) spares the others the shuffle
+    that follows. It lets too many through, never too few."""
+    word, bit = _bit(F.xxhash64(*keys))
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return rows.join(F.broadcast(words), (F.col("word") == word) & (F.col("bits").bitwiseAND(bit) != 0), "left_semi")
+
+
+def _postings(classes: DataFrame) -> DataFrame:
+    """``id, doc, n, sig0, sig1, i, token, near`` for each token of the prefixes."""
+    postings = classes.select("id", "doc", F.col("n").cast("int").alias("n"), *SIGS, F.posexplode("prefix").alias("i", "token"))
+    return postings.withColumn("near", F.expr(NEAR))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc, at, h1, h2`` of the later lines of the pairs whose token sets have Jaccard 0.8 or more."""
-    wanted = staged(pairs.select(*LINE).union(pairs.select(*(f"other_{c}" for c in LINE))).distinct())
-    lines = _lines(docs, id_col, text_col).select("doc", "at", *_same_line(), "line")
-    lines = staged(_only(lines, wanted).join(wanted, LINE).groupBy(*LINE).agg(F.first("h2").alias("h2"), F.first("line").alias("line")))
-    lines = lines.withColumn("n", F.size(F.array_distinct(_tokens(F.col("line")))))
-    others = lines.select(*(F.col(c).alias(f"other_{c}") for c in (*LINE, "line", "n")))
-    both = pairs.join(lines, LINE).join(others, [f"other_{c}" for c in LINE])
-    out = (*LINE, "h2")
+    """``id`` of the later lines of the pairs whose token sets have Jaccard 0.8 or more."""
+    ends = [pairs.select(*(F.col(f"{side}{c}").alias(c) for c in ("id", *LINE))) for side in ("", "other_")]
+    wanted = staged(ends[0].union(ends[1]).distinct())
+    lines = _lines(docs, id_col, text_col).select("doc", "at", *_same_line()[:1], "line")
+    lines = staged(_only(lines, wanted, LINE).join(wanted, LINE).groupBy("id").agg(F.first("line").alias("line")))
+    unstaged(wanted)
+    counted = lines.withColumn("n", F.size(F.array_distinct(_tokens(F.col("line")))))
+    others = counted.select(*(F.col(c).alias(f"other_{c}") for c in counted.columns))
+    both = pairs.select("id", "other_id").join(counted, "id").join(others, "other_id")
     # the intersection holds each token once; it stands in the test once, so each pair is cut and compared once
     common = F.size(F.array_intersect(_tokens(F.col("line")), _tokens(F.col("other_line"))))
-    return both.filter(9 * common >= 4 * (F.col("n") + F.col("other_n"))).select(*out).distinct()
-
-
-def later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, at, h1, h2`` of the distinct lines (at their earliest place) that match an earlier line which is not equal."""
-    classes = _classes(docs, id_col, text_col)
-    postings = classes.select("doc", "at", "h1", "n", "sig", F.posexplode("prefix").alias("i", "token"))
-    is_near = F.expr("i < n - (8 * n + 8) div 9 + 1")
-    first = Window.partitionBy("token").orderBy(*LINE)
-    near = (
-        postings.filter(is_near)
-        .withColumn("size", F.count("*").over(Window.partitionBy("token")))
-        .withColumn("place", F.row_number().over(first))
+    found = staged(both.filter(9 * common >= 4 * (F.col("n") + F.col("other_n"))).select("id").distinct())
+    unstaged(lines)
+    return found
+
+
+def _matched(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id`` of the distinct lines that match an earlier line which is not equal."""
+    of_token = Window.partitionBy("token")
+    lists = (
+        _postings(classes)
+        .withColumn("size", F.count_if("near").over(of_token))
+        .withColumn("first", F.min_by(F.when(F.col("near"), F.col("id")), F.when(F.col("near"), F.col("doc"))).over(of_token))
     )
-    far = postings.filter(~is_near)
-    other = near.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "size", "place")))
-    passes = F.expr(MATCH.format(n="n", m="other_n", i="i", j="other_i", s="sig", t="other_sig"))
-    later = F.expr(LATER.format(a="", b="other_"))
-    short, long_first = F.expr(f"other_size <= {LONG}"), F.expr(f"other_size > {LONG} and other_place = 1")
-    met = near.join(other, "token").filter((short & later & passes) | long_first).withColumn("near", F.lit(True)).drop("size", "place")
-    met = met.union(far.join(other, "token").filter((short & passes) | long_first).withColumn("near", F.lit(False)).select(met.columns))
-    met = staged(met.withColumn("passes", later & passes | passes & short).withColumn("long", long_first).drop("other_size", "other_place"))
-    candidates = staged(_plausible(_ordered(met.filter("passes")), classes))
+    sides = ("id", "n", "i", "near", *SIGS)
+    other = lists.filter("near").select("token", *(F.col(c).alias(f"other_{c}") for c in sides))
+    passes, meets = F.expr(MATCH), F.expr(MEETS)
+    long, first = F.col("size") > LONG, F.col("other_id") == F.col("first")
+    # of two near postings the one with the smaller id asks; in a long list all ask its first one, whatever the lengths
+    asks = ~long & meets & passes & (~F.col("near") | (F.col("id") < F.col("other_id")))
+    met = lists.join(other, "token").filter(asks | (long & first))
+    of_long = (F.when(long, F.col(c)).alias(c) for c in ("token", "i"))
+    met = staged(met.select("id", "other_id", long.alias("long"), (~long | (passes & (F.col("id") != F.col("other_id")))).alias("passes"), *of_long))
+    candidates = staged(_plausible(met.filter("passes").select("id", "other_id"), classes))
     # one candidate of each line is tried first; nearly all that pass the filters match
-    by = "other_h1"
-    tried = candidates.groupBy(*LINE).agg(*(F.min_by(f"other_{c}", by).alias(f"other_{c}") for c in LINE))
-    found = staged(_verified(docs, staged(tried), id_col, text_col))
-    long = met.filter("long").select("token", *PLACE, "near")
-    rest = long.join(found, LINE, "left_anti")
-    others = long.select("token", *(F.col(c).alias(f"other_{c}") for c in (*PLACE, "near")))
-    near_rest = rest.join(others.filter("other_near"), "token").filter(later & passes)
-    far_rest = rest.filter("near").join(others.filter("not other_near"), "token").filter(later & passes)
-    open_pairs = candidates.join(found, LINE, "left_anti")
-    rest_pairs = _plausible(_ordered(near_rest).union(_ordered(far_rest)), classes)
-    pairs = staged(open_pairs.union(rest_pairs).distinct())
-    return found.union(_verified(docs, pairs, id_col, text_col)).distinct()
-
-
-LINE = ["doc", "at", "h1"]
-PLACE = (*LINE, "n", "i", "sig")
-LATER = "({a}doc > {b}doc or ({a}doc = {b}doc and ({a}at > {b}at or ({a}at = {b}at and {a}h1 > {b}h1))))"
+    others = [f"other_{c}" for c in ("id", *LINE)]
+    tried = staged(candidates.groupBy("id", *LINE).agg(*(F.min_by(c, "other_h1").alias(c) for c in others)))
+    found = _verified(docs, tried, id_col, text_col)
+    unstaged(tried)
+    # lines of a group share many tokens: with the prefixes at hand, a pair leaves the join of the open lines once, and only if it is plausible
+    sides = ("id", "doc", "n", "prefix", *SIGS)
+    postings = staged(met.filter("long").select("id", "token", "i").join(classes.select(*sides), "id").withColumn("near", F.expr(NEAR)))
+    unstaged(met)
+    others = postings.select("token", *(F.col(c).alias(f"other_{c}") for c in ("i", "near", *sides)))
+    rest = postings.join(found, "id", "left_anti").join(others, "token")
+    rest = rest.filter((F.col("doc") >= F.col("other_doc")) & meets & passes & F.expr(FIRST) & F.expr(SHARED))
+    rest = staged(rest.select("id", "other_id"))
+    unstaged(postings)
+    open_pairs = candidates.join(found, "id", "left_anti")
+    pairs = staged(open_pairs.union(_plausible(rest, classes).select(open_pairs.columns)).distinct())
+    unstaged(rest, candidates)
+    late = _verified(docs, pairs, id_col, text_col)
+    matched = staged(found.union(late).distinct())
+    unstaged(pairs, found, late)
+    return matched
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    """The later line of each pair as ``doc, at, h1``, the earlier one as ``other_doc, other_at, other_h1``."""
+    """The later line of each pair as ``id, doc, at, h1``, the earlier one as ``other_id, other_doc, other_at, other_h1``."""
     earlier = F.expr(LATER.format(a="other_", b=""))
-    names = [(c, f"other_{c}") for c in LINE]
+    names = [(c, f"other_{c}") for c in ("id", *LINE)]
     return pairs.select(
         *(F.when(earlier, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in names),
         *(F.when(earlier, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in names),
@@ -238,15 +275,21 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, version, numbers``: the sorted numbers (from 0) of the lines that go, for documents that lose any."""
-    matched = later_matches(docs, id_col, text_col).select("h1", "h2", F.lit(True).alias("matched")).distinct()
+    """``doc, version, numbers``: the sorted numbers (from 0) of the lines that go, for documents that lose any. Stored."""
+    classes = _classes(docs, id_col, text_col)
+    matched = _matched(docs, classes, id_col, text_col)
+    # a line that is the only one of its class stays unless it is matched
+    places = (F.col(c).alias(f"first_{c}") for c in ("doc", "at", "version"))
+    losing = staged(classes.join(matched.withColumn("matched", F.lit(True)), "id", "left").filter("matched or copies > 1").select("h1", "h2", "matched", *places))
+    unstaged(classes, matched)
     lines = _lines(docs, id_col, text_col).select("doc", "version", "at", *_same_line())
-    classes = _first_places(lines, "h1", "h2", also=("version",)).join(matched, ["h1", "h2"], "left")
-    gone = lines.join(classes, ["h1", "h2"]).filter(
+    gone = _only(lines, losing, ["h1", "h2"]).join(losing, ["h1", "h2"]).filter(
         F.col("matched") | F.expr("doc <> first_doc or at <> first_at or version <> first_version")
     )
     number = F.col("at").bitwiseAND((1 << NUMBER_BITS) - 1).cast("int")
-    return gone.groupBy("doc", "version").agg(F.sort_array(F.collect_set(number)).alias("numbers"))
+    numbers = staged(gone.groupBy("doc", "version").agg(F.sort_array(F.collect_set(number)).alias("numbers")))
+    unstaged(losing)
+    return numbers
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

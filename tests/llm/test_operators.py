@@ -499,6 +499,31 @@ def test_line_dedup_cuts_only_pairs_that_share_enough_of_their_prefixes(spark, m
     assert {(r.other_doc, r.doc) for r in cut} <= {(6, 7), (6, 8), (7, 8)}
 
 
+def test_line_dedup_takes_each_open_pair_of_a_long_list_once(spark, monkeypatch):
+    """Variants that share most of their words, but too few: pairs leave the join of the open lines once, not per shared token."""
+    monkeypatch.setattr(line_dedup, "LONG", 2)
+    rng = random.Random(19)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:48] + rng.sample(words[48:], 6) + [f"own{k}x{i}" for i in range(3)]) for k in range(40)]
+    taken, plausible = [], line_dedup._plausible
+    monkeypatch.setattr(line_dedup, "_plausible", lambda pairs, classes: taken.append((pairs.count(), pairs.distinct().count())) or plausible(pairs, classes))
+    gone = {r.doc_id: list(r["__gone"]) for r in line_dedup.dedup_lines(docs_of(spark, texts)).collect()}
+    assert gone == plain_removed(texts) and any(gone.values())
+    assert taken[-1][0] == taken[-1][1] > 0
+
+
+def test_line_dedup_keeps_one_stored_table(spark):
+    """What is stored on the way goes; the numbers of the removed lines stay for the caller."""
+    from supplyloom.session import shared_folder
+
+    place = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    stored = lambda: {f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)}
+    before = stored()
+    gone = line_dedup.dedup_lines(docs_of(spark, ["a b c\nd e f", "a b c", "d e f g h"]))
+    assert [list(r["__gone"]) for r in gone.orderBy("doc_id").collect()] == [[], [0], []]
+    assert len(stored() - before) == 1
+
+
 def xxhash_of(spark, df, known={}):
     """The order of texts under one id: by the upper bits of the version, unsigned."""
     if not known:
