@@ -30,7 +30,7 @@ from supplyloom.llm.common import staged, unstaged
 BUCKETS = 1 << 18
 STEPS = (1, 4, 16, 64, 256)  # a bucket with so many times the mean count holds common tokens
 RARE = 200  # tokens seen less often are not told apart: their lists are short anyway
-LONG = 1024
+LONG = 512
 NO_ID = -(1 << 63)  # a NULL id stands before all others
 NUMBER_BITS = VERSION_BITS = 31  # a text holds less than 2 GB
 SPACES = "\t\n\x0b\f\r"
