@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from supplyloom.operators.aggregates import counted_lines_text
-from supplyloom.operators.joins import Lookup, denormalize
+from supplyloom.operators.joins import Lookup, denormalize, measured
 
 ORDER_KEY = ("po_number", "period", "_category_id", "category")
 SMALLEST = ("team", "sap_backend", "created_at", "_user", "po_created_by", "ifa_number", "ifa_supplier_name", "_are", "customer_id")
@@ -23,24 +23,27 @@ def order_record_view(
 ) -> DataFrame:
     """One row per order, period and known category, with the smallest value of each attribute.
 
-    Lines whose category is not in the category table share one row without category. The record is read once: it
-    is reduced to one row per line of an order, and both the orders and the line item text come from there. The
-    text covers the whole order, whatever the category; it is NULL where no line of the row names a category or
-    the period is NULL. ``with_lines=False`` leaves it out.
+    Lines whose category is not in the category table share one row without category. The text covers the whole
+    order, whatever the category; it is NULL where no line of the row names a category or the period is NULL.
+    ``with_lines=False`` leaves it out.
+
+    The record is read once for the orders and, with few columns, once for the text. Users are one row per GID and
+    meet the lines where those are while they fit into memory, so that a record that lies by order stays so: neither
+    the lines nor the orders are dealt out again.
     """
+    people = users.groupBy("GID").agg(F.min("Name").alias("Name"), F.count(F.lit(1)).alias("_rows"))
     named = denormalize(
         record,
         [
             Lookup(category, "category_id", {"_category_id": "id", "category": "name"}),
             Lookup(team, "team_id", {"team": "name"}),
-            Lookup(users, "po_created_by", {"_user": "Name"}, pk="GID"),
+            Lookup(measured(people), "po_created_by", {"_user": "Name", "_users": "_rows"}, pk="GID"),
             Lookup(are, "are_id", {"_are": "name"}),
         ],
     )
     lines = named.groupBy(*ORDER_KEY, "number_of_line_item").agg(
         *(F.min(c).alias(c) for c in SMALLEST),
         F.max(F.col("category_id").isNotNull() & F.col("period").isNotNull()).alias("_named"),
-        F.count(F.lit(1)).alias("_n"),
     )
     orders = lines.groupBy(*ORDER_KEY).agg(
         *(F.min(c).alias(c) for c in SMALLEST),
@@ -64,7 +67,8 @@ def order_record_view(
         "_named",
     )
     if with_lines:
-        counted = lines.groupBy("po_number", "number_of_line_item").agg(F.sum("_n").alias("_n"))
+        # a line counts once for every user of its GID
+        counted = named.groupBy("po_number", "number_of_line_item").agg(F.sum(F.coalesce("_users", F.lit(1))).alias("_n"))
         text = counted_lines_text(counted, xml_escape)
         orders = orders.join(text, "po_number", "left").withColumn(
             "line_items_text", F.when(F.col("_named"), F.col("line_items_text"))
