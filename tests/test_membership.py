@@ -82,3 +82,12 @@ def test_lookups_meet_wide_rows_by_number(spark, rows):
     # of the looked-up rows, only number and name reach the join with the wide rows
     steps = dashboard._beside(requests, found)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert len([step for step in steps if "Project" in step and "wide#" in step and "name#" in step]) == 1
+
+
+def test_rest_of_a_filter_are_the_rows_it_drops(spark):
+    ids = spark.range(0, 3_000, 3).select(F.col("id").alias("k"))
+    child = spark.range(0, 3_000).select(F.col("id").alias("k")).unionByName(spark.createDataFrame([(None,)], "k long"))
+    found = membership.key_filter(ids, "k")
+    kept, rest = ([r.k for r in part.collect()] for part in (found.keep(child, "k"), found.rest(child, "k")))
+    assert None in rest and sorted([*kept, *[k for k in rest if k is not None]]) == list(range(3_000))
+    assert not any(k is not None and k % 3 == 0 for k in rest)
